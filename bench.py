@@ -51,7 +51,7 @@ def main() -> None:
     jobs: dict[str, int] = {}
 
     t0 = time.time()
-    path = land_parquet(load_encounters(spark, sf_dir), scratch_path(spark, "bench-encounters"), partitions=cpus * 2)
+    path = land_parquet(load_encounters(spark, sf_dir), scratch_path(spark, "bench-encounters"))
     times["land_encounters"] = round(time.time() - t0, 3)
     enc = read_encounters(spark, path, fmt="parquet")
 

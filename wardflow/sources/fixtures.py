@@ -66,9 +66,15 @@ RULES: dict[str, tuple] = {
 # Spark rendering
 # ---------------------------------------------------------------------------
 
+def _spark_word(h: int, w: int) -> Column:
+    """32-bit word ``w`` (0..3) of digest ``h`` from its 8 hex characters."""
+    return F.conv(F.substring(F.col(f"_h{h}"), 8 * w + 1, 8), 16, 10).cast("bigint")
+
+
 def _spark_byte(n: int) -> Column:
-    pos = 2 * (n % 16) + 1
-    return F.conv(F.substring(F.col(f"_h{n // 16}"), pos, 2), 16, 10).cast("int")
+    """Byte n: hex characters 2*(n mod 16)+1..+2 of digest n div 16, taken from its word."""
+    shift = 8 * (3 - n % 4)
+    return F.shiftright(F.col(f"_w{n // 4}"), shift).bitwiseAND(255).cast("int")
 
 
 def _spark_bands(b: Column, bands, rest) -> Column:
@@ -110,20 +116,23 @@ def encounters_from_lineitem(lineitem: DataFrame, parallelism: int | None = None
     """Build the 50-column all-string encounter table from ``lineitem``.
 
     Only the four key columns are read. When the scan has fewer splits than
-    the cluster has cores (a single-row-group file), the keys are spread
-    round-robin first so the md5 work runs in parallel; a scan that is
-    already split is left alone (no shuffle).
+    the cluster has cores (a single-row-group file), the keys are hash-spread
+    on all four parts first (unique together, so no hot partition, and no
+    sort as a round-robin spread would need) so the md5 work runs in
+    parallel; a scan that is already split is left alone (no shuffle).
     """
     keys = lineitem.select(*KEY_PARTS)
     if parallelism and keys.rdd.getNumPartitions() < parallelism:
-        keys = keys.repartition(parallelism)
+        keys = keys.repartition(parallelism, *KEY_PARTS)
     k = F.concat_ws("|", *[F.col(c).cast("string") for c in KEY_PARTS])
     hashed = keys.select(
         k.alias("_k"),
         F.col("l_orderkey"),
         *[F.md5(F.concat(k, F.lit(f"#{i}"))).alias(f"_h{i}") for i in range(N_HASHES)],
     )
-    with_bytes = hashed.select("_k", "l_orderkey", *[_spark_byte(n).alias(f"_b{n}") for n in range(16 * N_HASHES)])
+    words = hashed.select("_k", "l_orderkey",
+                          *[_spark_word(h, w).alias(f"_w{4 * h + w}") for h in range(N_HASHES) for w in range(4)])
+    with_bytes = words.select("_k", "l_orderkey", *[_spark_byte(n).alias(f"_b{n}") for n in range(16 * N_HASHES)])
     first = [F.col("_k").alias("encounter_id"),
              (F.col("l_orderkey") % PATIENTS).cast("string").alias("patient_nbr")]
     # number_inpatient is needed by the target rule; build it in the same projection.
