@@ -135,9 +135,22 @@ def encounters_from_lineitem(lineitem: DataFrame, parallelism: int | None = None
     with_bytes = words.select("_k", "l_orderkey", *[_spark_byte(n).alias(f"_b{n}") for n in range(16 * N_HASHES)])
     first = [F.col("_k").alias("encounter_id"),
              (F.col("l_orderkey") % PATIENTS).cast("string").alias("patient_nbr")]
+    # The 23 medication columns share one band rule: evaluate it once over an
+    # array of their bytes (small generated code), then pick the elements.
+    med_bytes = [RULES[m][1] for m in MEDICATION_COLUMNS]
+    bands, rest = MED_BANDS
+    meds = F.transform(F.array(*[F.col(f"_b{n}") for n in med_bytes]), lambda b: _spark_bands(b, bands, rest))
+    with_meds = with_bytes.withColumn("_meds", meds)
+    med_pos = {m: i for i, m in enumerate(MEDICATION_COLUMNS)}
+
+    def render(c: str) -> Column:
+        if c in med_pos:
+            return F.col("_meds")[med_pos[c]].alias(c)
+        return _spark_rule(c, RULES[c]).alias(c)
+
     # number_inpatient is needed by the target rule; build it in the same projection.
-    cols = first + [_spark_rule(c, RULES[c]).alias(c) for c in RAW_COLUMNS[2:] if c != "readmitted"]
-    staged = with_bytes.select(*cols, F.col("_b47"))
+    cols = first + [render(c) for c in RAW_COLUMNS[2:] if c != "readmitted"]
+    staged = with_meds.select(*cols, F.col("_b47"))
     return staged.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS[:-1]],
                          _spark_rule("readmitted", RULES["readmitted"]).alias("readmitted"))
 
