@@ -26,7 +26,8 @@ from wardflow.operators.lookup import code_usage, decode_ids
 from wardflow.schema import (CATEGORICAL_COLUMNS, DIAGNOSIS_COLUMNS, DROP_COLUMNS, KEY, LABEL,
                              NUMERIC_COLUMNS, RAW_COLUMNS, RECORD_FIELDS, WEIGHT, q)
 from wardflow.session import scratch_path
-from wardflow.sources.files import read_code_maps, read_encounters, read_metrics, write_csv, write_metrics
+from wardflow.sources.files import (read_code_maps, read_confusion, read_encounters, read_metrics, write_confusion,
+                                    write_csv, write_metrics)
 
 Query = Callable[[SparkSession, DataFrame], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -351,7 +352,9 @@ def q_assembled_long(spark, enc):
 
 @query("confusion_matrix")
 def q_confusion_matrix(spark, enc):
-    return EV.confusion_matrix(rule_scored(enc))
+    """Confusion matrix as an aggregate, written by the CSV sink and read back."""
+    path = write_confusion(EV.confusion_matrix(rule_scored(enc)), scratch_path(spark, "confusion-csv"))
+    return read_confusion(spark, path)
 
 
 @query("class_metrics")

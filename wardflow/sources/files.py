@@ -70,3 +70,11 @@ def write_confusion(df: DataFrame, path: str) -> str:
     """Confusion-matrix sink as CSV with a header."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
     return path
+
+
+CONFUSION_SCHEMA = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("pred_0", T.LongType()),
+                                 T.StructField("pred_1", T.LongType())])
+
+
+def read_confusion(spark: SparkSession, path: str, schema: T.StructType = CONFUSION_SCHEMA) -> DataFrame:
+    return spark.read.schema(schema).option("header", True).csv(path)
