@@ -55,11 +55,11 @@ def change_score(df: DataFrame, cols: Sequence[str] = tuple(MEDICATION_COLUMNS),
     return df.withColumn(out, count_values_in([F.col(q(c)) for c in cols], values))
 
 
-def engineer_rows(df: DataFrame) -> DataFrame:
+def engineer_rows(df: DataFrame, ratio_default: float | None = None) -> DataFrame:
     """The stateless part of feature engineering, as one projection."""
     out = diagnosis_groups(df)
     out = comorbidity_count(out)
-    out = per_day_ratios(out)
+    out = per_day_ratios(out, default=ratio_default)
     return change_score(out)
 
 
