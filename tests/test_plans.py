@@ -74,3 +74,14 @@ def test_imputer_fit_is_two_jobs(spark, landed):
         sc.setLocalProperty("spark.jobGroup.id", None)
         spark.conf.set("spark.sql.adaptive.enabled", old)
     assert len(jobs) == 2   # one mean aggregate, one mode aggregate, for 8 + 33 columns
+
+
+@pytest.mark.parametrize("rows_per_bucket", [1_000_000, 50])
+def test_auc_plan_has_no_cross_join(spark, rows_per_bucket):
+    from wardflow.operators import evaluate as EV
+
+    df = spark.range(3000).selectExpr("cast(id % 997 as double) / 7 as score", "cast(id % 3 = 0 as double) as label")
+    plan = _plan(EV.auc(df, "score", rows_per_bucket=rows_per_bucket))
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    if rows_per_bucket == 50:
+        assert "BroadcastHashJoin" in plan   # range offsets joined by range id
