@@ -209,3 +209,12 @@ def test_missing_profile_and_modes(spark):
     assert prof == {"p": (1, 25.0), "q": (1, 25.0)}
     modes = {r.column_name: (r.mode_value, r.mode_count) for r in P.column_modes(df, ["p", "q"]).collect()}
     assert modes == {"p": ("a", 2), "q": ("y", 2)}
+
+
+def test_full_tuning_grids_build():
+    from wardflow.operators import models as M
+
+    rf_grid = M.param_grid(M.forest(), {"maxDepth": [5, 10, 15], "numTrees": [50, 100], "minInstancesPerNode": [10, 20]})
+    gbt_grid = M.param_grid(M.gbt(), {"maxDepth": [5, 10], "maxIter": [20, 50], "stepSize": [0.1, 0.05],
+                                      "minInstancesPerNode": [10, 20]})
+    assert len(rf_grid) == 12 and len(gbt_grid) == 16
