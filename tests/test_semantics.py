@@ -211,7 +211,7 @@ def test_missing_profile_and_modes(spark):
     assert modes == {"p": ("a", 2), "q": ("y", 2)}
 
 
-def test_full_tuning_grids_build():
+def test_full_tuning_grids_build(spark):
     from wardflow.operators import models as M
 
     rf_grid = M.param_grid(M.forest(), {"maxDepth": [5, 10, 15], "numTrees": [50, 100], "minInstancesPerNode": [10, 20]})
