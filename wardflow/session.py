@@ -6,7 +6,6 @@ fills in defaults that are unset, which is what tests and the local bench need.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -66,10 +65,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, "wardflow", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.sparkContext.defaultParallelism)
-
-
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after checking its size; otherwise leave the join to the planner.
 
@@ -80,14 +75,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
 
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def local_path(path: str) -> str:
-    """Strip a file: scheme for local checks in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
