@@ -237,6 +237,37 @@ def _assembled() -> str:
     return with_(CHAIN_FEAT + [INDEX, offsets], body)
 
 
+TRAIN = "CAST(CAST(('0x' || substr(md5(encounter_id), 1, 8)) AS BIGINT) % 100 AS INTEGER) < 80"
+MEANS_TRAIN = MEANS.replace(" FROM _clean)", f" FROM _clean WHERE {TRAIN})")
+FREQ_TRAIN = FREQ.replace(" FROM _clean) ON ", f" FROM _clean WHERE {TRAIN}) ON ")
+CHAIN_FEAT_ROWS_TRAIN_FIT = CHAIN_CLEAN + [MEANS_TRAIN, FREQ_TRAIN, MODES, IMPUTED, GROUPS, FEAT_ROWS]
+
+
+def _encode_pipeline() -> str:
+    """Preparation fitted on the hash-split training rows, applied to every row:
+    vector size = categories seen in training + numeric features; active slots =
+    categories seen in training (unseen -> zero vector) + non-zero numerics."""
+    cats = cols(CATEGORICAL_FEATURES)
+    nonzero = " + ".join(f"CASE WHEN {i(c)} <> 0 THEN 1 ELSE 0 END" for c in NUMERIC_FEATURES)
+    ctes = CHAIN_FEAT_ROWS_TRAIN_FIT + [
+        f"_rows AS (SELECT row_number() OVER () AS rid, {TRAIN} AS is_train, * FROM _feat_rows)",
+        f"_seen AS (SELECT DISTINCT column_name, category FROM (UNPIVOT (SELECT {cats} FROM _rows WHERE is_train) "
+        f"ON {cats} INTO NAME column_name VALUE category))",
+        "_kc AS (SELECT column_name, count(*) AS k FROM _seen GROUP BY column_name)",
+        f"_hits AS (SELECT p.rid, count(s.category) AS n_cat FROM (UNPIVOT (SELECT rid, {cats} FROM _rows) ON {cats} "
+        "INTO NAME column_name VALUE category) p LEFT JOIN _seen s ON p.column_name = s.column_name "
+        "AND p.category = s.category GROUP BY p.rid)",
+    ]
+    body = (f"SELECT r.encounter_id, r.label, CAST((SELECT sum(k) FROM _kc) + {len(NUMERIC_FEATURES)} AS INTEGER) "
+            f"AS feature_dim, CAST(h.n_cat + {nonzero} AS INTEGER) AS n_active FROM _rows r JOIN _hits h ON r.rid = h.rid")
+    return with_(ctes, body)
+
+
+def model_oracles() -> dict[str, str]:
+    """SQL twins of model-path keys whose output is SQL-expressible."""
+    return {"encode_pipeline": _encode_pipeline()}
+
+
 def oracle_sql() -> dict[str, str]:
     sel_nt = "SELECT * FROM _nt"
     return {
