@@ -85,3 +85,16 @@ def test_auc_plan_has_no_cross_join(spark, rows_per_bucket):
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     if rows_per_bucket == 50:
         assert "BroadcastHashJoin" in plan   # range offsets joined by range id
+
+
+def test_scoring_is_one_pass_without_shuffle(spark, landed):
+    from wardflow.operators import models as M
+    from wardflow.operators.score import score_batch
+    from wardflow.operators.split import hash_split_frames
+    from wardflow.plans.model_queries import records
+    from wardflow.plans.pipeline import fit_scoring_model
+
+    train, test = hash_split_frames(landed)
+    model = fit_scoring_model(train, M.forest(numTrees=3, maxDepth=3))
+    plan = _plan(score_batch(records(test), model))
+    assert "Exchange" not in plan and "Join" not in plan

@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 
 from wardflow.schema import RAW_SCHEMA
 
+# The admission-type, discharge-disposition and admission-source
+# code maps shipped with the encounter dataset, kept verbatim (leading blanks,
+# quoted commas, out-of-order and missing codes) because the reader must cope
+# with exactly that layout.
 CODE_MAP_FILE = os.path.join(os.path.dirname(__file__), "data", "id_code_maps.csv")
 
 
