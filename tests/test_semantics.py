@@ -218,3 +218,12 @@ def test_full_tuning_grids_build(spark):
     gbt_grid = M.param_grid(M.gbt(), {"maxDepth": [5, 10], "maxIter": [20, 50], "stepSize": [0.1, 0.05],
                                       "minInstancesPerNode": [10, 20]})
     assert len(rf_grid) == 12 and len(gbt_grid) == 16
+
+
+def test_cardinality_guard(spark):
+    from wardflow.operators.encode import check_cardinality
+
+    df = spark.range(500).selectExpr("cast(id as string) as ident", "cast(id % 3 as string) as cat")
+    assert check_cardinality(df, ["cat"], max_distinct=10)["cat"] == 3
+    with pytest.raises(ValueError, match="ident"):
+        check_cardinality(df, ["cat", "ident"], max_distinct=10)

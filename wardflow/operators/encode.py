@@ -11,8 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 FEATURES = "features"
+MAX_CATEGORIES = 100_000
 
 
 def index_categories(cols: Sequence[str], handle_invalid: str = "keep") -> StringIndexer:
@@ -49,3 +52,21 @@ def build_encoder(roles: dict[str, list[str]]) -> Pipeline:
 def build_pipeline(roles: dict[str, list[str]], estimator) -> Pipeline:
     """(encoding pipeline) + classifier, as one fit/transform unit."""
     return Pipeline(stages=[build_encoder(roles), estimator])
+
+
+def check_cardinality(df: DataFrame, cols: Sequence[str], max_distinct: int = MAX_CATEGORIES) -> dict[str, int]:
+    """Approximate distinct count of each categorical column, in one aggregate.
+
+    The indexer fit brings every label of every column to the driver; this
+    check proves that set is bounded before it is built, and names the
+    columns that are identifiers rather than categories.
+    """
+    from wardflow.schema import q
+
+    row = df.agg(*[F.approx_count_distinct(F.col(q(c)), 0.05).alias(c) for c in cols]).first()
+    counts = {c: int(row[c]) for c in cols}
+    too_many = {c: n for c, n in counts.items() if n > max_distinct}
+    if too_many:
+        raise ValueError(f"categorical columns with more than {max_distinct} distinct values "
+                         f"(treat them as identifiers or group them first): {too_many}")
+    return counts
