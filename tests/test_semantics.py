@@ -227,3 +227,10 @@ def test_cardinality_guard(spark):
     assert check_cardinality(df, ["cat"], max_distinct=10)["cat"] == 3
     with pytest.raises(ValueError, match="ident"):
         check_cardinality(df, ["cat", "ident"], max_distinct=10)
+
+
+def test_imputer_bounds_categories_in_its_mode_job(spark):
+    df = spark.range(300).selectExpr("cast(id as string) as ident", "cast(id % 3 as string) as cat")
+    EncounterImputer(numericCols=[], categoricalCols=["cat"], maxCategories=10).fit(df)
+    with pytest.raises(ValueError, match="ident"):
+        EncounterImputer(numericCols=[], categoricalCols=["cat", "ident"], maxCategories=10).fit(df)

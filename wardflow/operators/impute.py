@@ -28,10 +28,14 @@ class _ImputerParams(Params):
                         typeConverter=TypeConverters.toListString)
     categoricalCols = Param(Params._dummy(), "categoricalCols", "columns filled with their mode",
                             typeConverter=TypeConverters.toListString)
+    maxCategories = Param(Params._dummy(), "maxCategories",
+                          "fail the fit if a categorical column has more distinct values (0 = no limit)",
+                          typeConverter=TypeConverters.toInt)
 
     def __init__(self):
         super().__init__()
-        self._setDefault(numericCols=list(NUMERIC_COLUMNS), categoricalCols=list(CATEGORICAL_COLUMNS))
+        self._setDefault(numericCols=list(NUMERIC_COLUMNS), categoricalCols=list(CATEGORICAL_COLUMNS),
+                         maxCategories=0)
 
 
 class EncounterImputer(Estimator, _ImputerParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -39,14 +43,20 @@ class EncounterImputer(Estimator, _ImputerParams, DefaultParamsReadable, Default
 
     A mean filled into an integer column is truncated, as a cast would do.
     A column with no non-NULL value gets no fill value and stays NULL.
+    The mode job also counts distinct values per column; with ``maxCategories``
+    the fit fails on a column above it, which bounds the label sets a later
+    indexer brings to the driver at no extra pass.
     """
 
-    def __init__(self, numericCols: Sequence[str] | None = None, categoricalCols: Sequence[str] | None = None):
+    def __init__(self, numericCols: Sequence[str] | None = None, categoricalCols: Sequence[str] | None = None,
+                 maxCategories: int | None = None):
         super().__init__()
         if numericCols is not None:
             self._set(numericCols=list(numericCols))
         if categoricalCols is not None:
             self._set(categoricalCols=list(categoricalCols))
+        if maxCategories is not None:
+            self._set(maxCategories=int(maxCategories))
 
     def _fit(self, dataset: DataFrame) -> "EncounterImputerModel":
         num = [c for c in self.getOrDefault(self.numericCols) if c in dataset.columns]
@@ -62,8 +72,15 @@ class EncounterImputer(Estimator, _ImputerParams, DefaultParamsReadable, Default
                 fills[c] = math.trunc(m) if isinstance(dt, T.IntegralType) else float(m)
         modes: dict[str, str] = {}
         if cat:
-            for r in column_modes(dataset, cat).collect():  # one row per column
+            limit = self.getOrDefault(self.maxCategories)
+            too_many = {}
+            for r in column_modes(dataset, cat, with_cardinality=True).collect():  # one row per column
                 modes[r["column_name"]] = r["mode_value"]
+                if limit and r["n_distinct"] > limit:
+                    too_many[r["column_name"]] = r["n_distinct"]
+            if too_many:
+                raise ValueError(f"categorical columns with more than {limit} distinct values "
+                                 f"(treat them as identifiers or group them first): {too_many}")
         model = EncounterImputerModel(numericFill=json.dumps(fills), categoricalFill=json.dumps(modes))
         model._set(numericCols=num, categoricalCols=cat)
         return model

@@ -67,16 +67,19 @@ def value_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
-def column_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def column_modes(df: DataFrame, cols: Sequence[str], with_cardinality: bool = False) -> DataFrame:
     """Most frequent non-NULL value per column, ties to the smallest value.
 
-    ``(column_name, mode_value, mode_count)``. The second aggregate runs over
-    distinct (column, value) pairs only.
+    ``(column_name, mode_value, mode_count[, n_distinct])``. The second
+    aggregate runs over distinct (column, value) pairs only, so the number of
+    distinct values per column comes for free.
     """
     freq = value_frequencies(df, cols)
     best = F.min_by(F.struct(F.col("value"), F.col("n")), F.struct((-F.col("n")).alias("k"), F.col("value")))
-    return (freq.groupBy("column_name").agg(best.alias("m"))
-            .select("column_name", F.col("m.value").alias("mode_value"), F.col("m.n").alias("mode_count")))
+    aggs = [best.alias("m")] + ([F.count(F.lit(1)).alias("n_distinct")] if with_cardinality else [])
+    out = freq.groupBy("column_name").agg(*aggs)
+    extra = ["n_distinct"] if with_cardinality else []
+    return out.select("column_name", F.col("m.value").alias("mode_value"), F.col("m.n").alias("mode_count"), *extra)
 
 
 def class_counts(df: DataFrame, label: str = LABEL) -> DataFrame:
