@@ -49,6 +49,7 @@ def main() -> None:
                         **{"spark.driver.memory": "16g"})
     times: dict[str, float] = {}
     jobs: dict[str, int] = {}
+    load_at_start = round(os.getloadavg()[0], 2)  # host load, to read run-to-run noise
 
     t0 = time.time()
     path = land_parquet(load_encounters(spark, sf_dir), scratch_path(spark, "bench-encounters"))
@@ -63,7 +64,8 @@ def main() -> None:
 
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_headline_sec", "value": total, "unit": "sec", "queries": times,
-                      "jobs": jobs, "sf": float(sf) if sf.replace(".", "").isdigit() else sf, "cpus": cpus}))
+                      "jobs": jobs, "sf": float(sf) if sf.replace(".", "").isdigit() else sf, "cpus": cpus,
+                      "load_at_start": load_at_start}))
     spark.stop()
 
 
