@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from wardflow.llm.bpe import op3_bpe
 from wardflow.llm.language_id import op1_language_id
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_bpe": op3_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
