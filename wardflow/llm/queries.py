@@ -5,11 +5,13 @@ from __future__ import annotations
 from wardflow.llm.bpe import op3_bpe
 from wardflow.llm.language_id import op1_language_id
 from wardflow.llm.packing import op5_packing
+from wardflow.llm.quality import op8_quality
 
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_bpe": op3_bpe,
     "op5_packing": op5_packing,
+    "op8_quality": op8_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
