@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from wardflow.llm.bpe import op3_bpe
+from wardflow.llm.jaccard import op10_jaccard_join
 from wardflow.llm.language_id import op1_language_id
 from wardflow.llm.packing import op5_packing
 from wardflow.llm.quality import op8_quality
@@ -12,6 +13,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op5_packing": op5_packing,
     "op8_quality": op8_quality,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
