@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wardflow.llm.ann import op9_ann
 from wardflow.llm.bpe import op3_bpe
 from wardflow.llm.jaccard import op10_jaccard_join
 from wardflow.llm.language_id import op1_language_id
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op5_packing": op5_packing,
     "op8_quality": op8_quality,
+    "op9_ann": op9_ann,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
