@@ -8,9 +8,11 @@ from wardflow.llm.jaccard import op10_jaccard_join
 from wardflow.llm.language_id import op1_language_id
 from wardflow.llm.packing import op5_packing
 from wardflow.llm.quality import op8_quality
+from wardflow.llm.warc_zip import op2_warc
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_warc": op2_warc,
     "op3_bpe": op3_bpe,
     "op5_packing": op5_packing,
     "op8_quality": op8_quality,
