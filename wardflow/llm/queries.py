@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from wardflow.llm.ann import op9_ann
 from wardflow.llm.bpe import op3_bpe
+from wardflow.llm.html_text import op4_html_text
 from wardflow.llm.jaccard import op10_jaccard_join
 from wardflow.llm.language_id import op1_language_id
 from wardflow.llm.packing import op5_packing
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_warc": op2_warc,
     "op3_bpe": op3_bpe,
+    "op4_html_text": op4_html_text,
     "op5_packing": op5_packing,
     "op8_quality": op8_quality,
     "op9_ann": op9_ann,
