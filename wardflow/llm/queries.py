@@ -9,6 +9,7 @@ from wardflow.llm.jaccard import op10_jaccard_join
 from wardflow.llm.language_id import op1_language_id
 from wardflow.llm.packing import op5_packing
 from wardflow.llm.quality import op8_quality
+from wardflow.llm.url_filter import OP6_SQL, op6_url_filter
 from wardflow.llm.warc_zip import op2_warc
 
 QUERIES = {
@@ -17,9 +18,12 @@ QUERIES = {
     "op3_bpe": op3_bpe,
     "op4_html_text": op4_html_text,
     "op5_packing": op5_packing,
+    "op6_url_filter": op6_url_filter,
     "op8_quality": op8_quality,
     "op9_ann": op9_ann,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_url_filter": OP6_SQL,
+}
