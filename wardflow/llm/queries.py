@@ -7,6 +7,7 @@ from wardflow.llm.bpe import op3_bpe
 from wardflow.llm.html_text import op4_html_text
 from wardflow.llm.jaccard import op10_jaccard_join
 from wardflow.llm.language_id import op1_language_id
+from wardflow.llm.license_scan import op7_license_scan
 from wardflow.llm.packing import op5_packing
 from wardflow.llm.quality import op8_quality
 from wardflow.llm.url_filter import OP6_SQL, op6_url_filter
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_html_text": op4_html_text,
     "op5_packing": op5_packing,
     "op6_url_filter": op6_url_filter,
+    "op7_license_scan": op7_license_scan,
     "op8_quality": op8_quality,
     "op9_ann": op9_ann,
     "op10_jaccard_join": op10_jaccard_join,
