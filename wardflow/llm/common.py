@@ -58,3 +58,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x *= np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
     return x
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of name_1, name_2 ... that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out, i = name, 0
+    while out.lower() in taken:
+        i += 1
+        out = f"{name}_{i}"
+    return out
+
+
+def keep_where(docs: DataFrame, result, field: str) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, for which the boolean ``field`` of the struct ``result`` is true."""
+    name = free_name(docs, "verdict")
+    return docs.withColumn(name, result).filter(F.col(f"{name}.{field}")).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import mix64, stage, table
+from wardflow.llm.common import free_name, mix64, stage, table
 
 RATIO = 1.5  # of a size band's ends
 SKETCH_BITS = 1024
@@ -402,6 +402,16 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
         .select("id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))
 
 
+def keep_one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` of each component, unchanged: that with the smallest id (of rows that repeat id and text, any)."""
+    own = free_name(docs, "row")
+    # an id alone may stand in several rows
+    keyed = docs.withColumn(own, F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("h")))
+    found = jaccard_components(keyed.select(own, text_col), n, percent, own, text_col)
+    stay = found.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias(own)).distinct()
+    return keyed.join(stay, own, "left_semi").dropDuplicates([own]).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op10_jaccard_join(spark, sf_dir: str) -> DataFrame:
     out = jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
     return out.withColumnRenamed("id", "doc_id")

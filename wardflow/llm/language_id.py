@@ -23,10 +23,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import code_points, id_bucket, mix64, text_slices
+from wardflow.llm.common import code_points, free_name, id_bucket, keep_where, mix64, stage, table, text_slices
 
 ORDER = 4
 SLICE = 1_000_000
@@ -98,6 +98,7 @@ class KneserNey:
     """Interpolated Kneser-Ney model of one language from the counts of its 4-grams."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, alphabet: int):
+        self.keys = keys
         self.uniform = 1.0 / max(alphabet, 1)
         self.levels: list[tuple[HashArray, HashArray, float]] = []  # from order 1 up: n-grams, contexts, discount
         levels = []
@@ -130,7 +131,8 @@ class KneserNey:
 class LanguageModel:
     languages: list[str]
     models: list[KneserNey] = field(default_factory=list)
-    table: HashArray | None = None  # of every known 4-gram: row of ``logp``
+    known: HashArray | None = None  # every 4-gram that some model has seen: row of ``logp``
+    logp: np.ndarray | None = None  # log probability by known 4-gram and language
     power: float = 1.0
     scale: float = 1.0
     mean: np.ndarray | None = None
@@ -147,8 +149,8 @@ class LanguageModel:
             np.add.at(letters, rows, let)
             if not len(key):
                 continue
-            at, hit = self.table.find(key)
-            place = self.table.values[0][at]
+            at, hit = self.known.find(key)
+            place = self.known.values[0][at]
             if not hit.all():
                 odd, inv = np.unique(key[~hit], return_inverse=True)
                 extra = np.stack([np.log(m.prob(odd)) for m in self.models], axis=1)
@@ -162,10 +164,9 @@ class LanguageModel:
         return sums / np.maximum(n, 1)[:, None], n, letters
 
     def build(self) -> LanguageModel:
-        keys = np.unique(np.concatenate([m.raw_keys for m in self.models]))
-        self.logp = np.stack([np.log(m.prob(keys)) for m in self.models], axis=1)
-        self.logp = np.asfortranarray(self.logp)
-        self.table = HashArray(keys, np.arange(len(keys)))
+        keys = np.unique(np.concatenate([m.keys for m in self.models]))
+        self.logp = np.asfortranarray(np.stack([np.log(m.prob(keys)) for m in self.models], axis=1))
+        self.known = HashArray(keys, np.arange(len(keys)))
         return self
 
     def predict(self, texts: list[str | None]) -> pd.DataFrame:
@@ -227,14 +228,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     model: the most frequent 4-grams of a language stay, so that what reaches the
     driver and the executors is at most ``max_languages * max_grams`` entries.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")) \
         .filter("lang is not null and text is not null")
     part = F.pmod(F.xxhash64(F.col("id"), F.lit("calibrate")), F.lit(1 << 20))
     counted = rows.filter(part >= (1 << 18)).select("lang", "text") \
         .mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    from wardflow.llm.common import stage
-
     counted = stage(counted, "language-grams")
     level = F.floor(F.log2("n") * 16).cast("int").alias("level")
     by_level = counted.groupBy("lang", level).agg(F.count("*").alias("c")).collect()  # at most a few hundred a language
@@ -258,9 +256,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         mine = kept[kept["lang"] == lang].sort_values("gram")
         keys = mine["gram"].to_numpy(copy=True).view(np.uint64)
         order = np.argsort(keys)
-        one = KneserNey(keys[order], mine["n"].to_numpy()[order], alphabet)
-        one.raw_keys = keys
-        model.models.append(one)
+        model.models.append(KneserNey(keys[order], mine["n"].to_numpy()[order], alphabet))
     model.build()
     _calibrate(model, rows.filter(part < (1 << 18)).withColumn("part", part), calibration_rows)
     return model
@@ -313,18 +309,29 @@ def _calibrate(model: LanguageModel, rows: DataFrame, sample: int) -> None:
     model.limit = max(6.0, 1.5 * float(np.quantile(z, 0.999)))
 
 
-def add_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score``, ``entropy`` and ``accepted``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def language_of(model: LanguageModel, text):
+    """The struct (lang_pred, score, entropy, accepted) of a text column."""
+    shared = SparkSession.active().sparkContext.broadcast(model)
 
     @F.pandas_udf(RESULT)
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             yield shared.value.predict([t if isinstance(t, str) else None for t in batch])
 
+    return predict(text)
+
+
+def add_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score``, ``entropy`` and ``accepted``."""
     names = ("lang_pred", "score", "entropy", "accepted")
-    out = docs.withColumn("__language", predict(F.col(text_col)))
-    return out.withColumns({c: F.col(f"__language.{c}") for c in names}).drop("__language")
+    own = free_name(docs, "language")
+    out = docs.withColumn(own, language_of(model, F.col(text_col)))
+    return out.withColumns({c: F.col(f"{own}.{c}") for c in names}).drop(own)
+
+
+def keep_accepted(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the model accepts, unchanged."""
+    return keep_where(docs, language_of(model, F.col(text_col)), "accepted")
 
 
 def held_out(id_col: str = "doc_id"):
@@ -333,8 +340,6 @@ def held_out(id_col: str = "doc_id"):
 
 
 def op1_language_id(spark, sf_dir: str) -> DataFrame:
-    from wardflow.llm.common import table
-
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out())
     model = train(docs.filter("not held_out"))
     return add_language(docs.select("doc_id", "text", "held_out"), model) \

@@ -23,10 +23,10 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import mix64, table
+from wardflow.llm.common import free_name, keep_where, mix64, table
 
 BITS = 14  # hashed features of each of the three families
 WINDOW = 8  # words of a repeated passage
@@ -216,17 +216,28 @@ def _fit(rows: pa.Table, rounds: int, scale: float = 30.0, decay: float = 1e-4)
     return QualityModel((w * scale).reshape(3, 1 << BITS), a, a * b + c)
 
 
-def add_quality(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with the base counts, ``base_failed``, ``quality`` (probability) and ``kept``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # three families of 2^BITS weights
+def quality_of(model: QualityModel, text):
+    """The struct of base counts, ``base_failed``, ``quality`` (probability) and ``kept`` of a text column."""
+    shared = SparkSession.active().sparkContext.broadcast(model)  # three families of 2^BITS weights
 
     @F.pandas_udf(RESULT)
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             yield shared.value.predict([t if isinstance(t, str) else None for t in batch])
 
-    out = docs.withColumn("__quality", predict(F.col(text_col)))
-    return out.withColumns({c: F.col(f"__quality.{c}") for c in (*COUNTS, "base_failed", "quality", "kept")}).drop("__quality")
+    return predict(text)
+
+
+def add_quality(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
+    """``docs`` with the fields of :func:`quality_of`."""
+    own = free_name(docs, "rules")
+    out = docs.withColumn(own, quality_of(model, F.col(text_col)))
+    return out.withColumns({c: F.col(f"{own}.{c}") for c in (*COUNTS, "base_failed", "quality", "kept")}).drop(own)
+
+
+def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass, unchanged."""
+    return keep_where(docs, quality_of(model, F.col(text_col)), "kept")
 
 
 def op8_quality(spark, sf_dir: str) -> DataFrame:
