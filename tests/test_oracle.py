@@ -10,7 +10,8 @@ from wardflow.plans.queries import REGISTRY
 
 from conftest import SF_SMALL
 
-EXACT = sorted(E.oracle_sql())
+BASE = set(REGISTRY) | set(MODEL_QUERIES)
+EXACT = sorted(set(E.oracle_sql()) & BASE)  # those of the corpus operators are tested with them
 
 
 def _norm(v):
@@ -24,9 +25,8 @@ def _rows(records, names):
 
 
 def test_every_registered_query_is_classified():
-    assert set(E.queries()) == set(REGISTRY) | set(MODEL_QUERIES)
-    assert set(E.oracle_sql()) == set(REGISTRY) | {"encode_pipeline"}
-    assert len(E.queries()) == 54
+    assert set(E.queries()) >= BASE and set(E.oracle_sql()) <= set(E.queries())
+    assert set(EXACT) == BASE and len(BASE) == 57
 
 
 @pytest.mark.parametrize("key", EXACT)

@@ -149,8 +149,8 @@ def test_confusion_matrix(spark):
     assert got == {0.0: (2, 0), 1.0: (1, 1)}
 
 
-@pytest.mark.parametrize("rows_per_bucket", [1_000_000, 7])
-def test_auc_matches_mllib_exact(spark, rows_per_bucket):
+@pytest.mark.parametrize("ranges", [1, 7, None])
+def test_auc_matches_mllib_exact(spark, ranges):
     rnd = random.Random(7)
     rows = []
     for _ in range(400):
@@ -158,12 +158,87 @@ def test_auc_matches_mllib_exact(spark, rows_per_bucket):
         y = 1.0 if rnd.random() < 0.2 + s / 20 else 0.0
         rows.append((s, y))
     df = spark.createDataFrame(rows, "score double, label double")
-    got = EV.auc(df, "score", rows_per_bucket=rows_per_bucket).first().auc
+    got = EV.auc(df, "score", ranges=ranges).first().auc
     vec = df.select(array_to_vector(F.array(-F.col("score"), F.col("score"))).alias("rawPrediction"), "label")
     expected = BinaryClassificationEvaluator(numBins=0).evaluate(vec)
     assert math.isclose(got, expected, rel_tol=1e-12)
 
 
+@pytest.mark.parametrize("ranges", [1, 3])
+def test_auc_nan_null_and_one_class(spark, ranges):
+    nan = float("nan")
+    df = spark.createDataFrame([(0.1, 0.0), (0.2, 1.0), (nan, 1.0), (nan, 0.0), (None, 1.0), (0.3, None), (None, None)], "score double, label double")
+    r = EV.auc(df, "score", ranges=ranges).first()
+    # NaN is the highest score: of the pairs (0.2, 0.1), (0.2, NaN), (NaN, 0.1), (NaN, NaN) two and a half are right
+    assert (r.auc, r.n_pos, r.n_neg, r.n_dropped) == (2.5 / 4, 2, 2, 3)
+    one = EV.auc(df.where("label = 1.0"), "score", ranges=ranges).first()
+    assert (one.auc, one.n_pos, one.n_neg, one.n_dropped) == (None, 2, 0, 1)
+    none = EV.auc(df.where("false"), "score", ranges=ranges).first()
+    assert (none.auc, none.n_pos, none.n_neg, none.n_dropped) == (None, 0, 0, 0)
+
+
+def test_summary_counts_like_the_rows(spark):
+    rows = [(0.9, 1.0, 1.0), (None, 0.0, 0.0), (0.2, 0.0, 0.0), (0.3, None, 1.0), (0.4, 1.0, None), (0.5, 0.0, 1.0), (None, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "score double, label double, prediction double")
+    summary = EV.score_summary(df, "score", prediction="prediction")
+    assert EV.class_metrics_from_summary(summary).first() == EV.class_metrics(df).first()
+    assert {tuple(r) for r in EV.confusion_from_summary(summary).collect()} == {tuple(r) for r in EV.confusion_matrix(df.where("label is not null")).collect()}
+
+
+def test_hash_split_loses_no_row(spark):
+    from wardflow.operators.split import hash_folds, hash_split_frames
+
+    df = spark.createDataFrame([("a",), (None,), ("b",), (None,)], "encounter_id string")
+    train, test = hash_split_frames(df)
+    assert train.count() + test.count() == 4 and test.where("encounter_id is null").count() == 2
+    assert hash_split(df).where("encounter_id is null and split = 'test'").count() == 2
+    assert hash_folds(df).where("fold is null").count() == 0
+
+
+def test_validate_typed_table(spark):
+    typed = spark.createDataFrame([("1", "Caucasian", 5), ("2", "Other", None)], "encounter_id string, race string, time_in_hospital int")
+    reasons = {r.encounter_id: r.reason for r in validate_records(typed, ["race", "time_in_hospital"], ["time_in_hospital"]).collect()}
+    assert reasons == {"1": None, "2": "missing:time_in_hospital"}
+
+
+def test_shared_dir_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from wardflow import session
+
+    def fake(master):
+        sc = SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda k, d=None: None), getCheckpointDir=lambda: None,
+                             setCheckpointDir=lambda p: None)
+        return SimpleNamespace(sparkContext=sc)
+
+    for master in ("yarn", "spark://host:7077", "k8s://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_dir(fake(master))
+    assert session.shared_dir(fake("local[4]"))
+
+
+def test_code_maps_from_a_zip(tmp_path):
+    """The packaged map is readable where the package is a zip, as ``--py-files`` leaves it."""
+    import os
+    import subprocess
+    import sys
+    import zipfile
+
+    import wardflow
+
+    root = os.path.dirname(wardflow.__file__)
+    with zipfile.ZipFile(tmp_path / "wardflow.zip", "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith((".py", ".csv")):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    code = "import wardflow; from wardflow.sources.files import code_map_text as t; print('.zip' in wardflow.__file__, len(t()) > 1000)"
+    out = subprocess.run([sys.executable, "-c", code], env={**os.environ, "PYTHONPATH": str(tmp_path / "wardflow.zip")}, cwd=tmp_path,
+                         capture_output=True, text=True, check=True)
+    assert out.stdout.split() == ["True", "True"]
+
+
 def test_hash_split_independent_of_partitioning(spark):
     df = spark.range(2000).select(F.col("id").cast("string").alias("encounter_id"))
     ref = None

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FEATURES = "features"
-MAX_CATEGORIES = 100_000
 
 
 def index_categories(cols: Sequence[str], handle_invalid: str = "keep") -> StringIndexer:
@@ -45,6 +44,24 @@ def encoding_stages(roles: dict[str, list[str]]) -> list:
     return stages
 
 
+def active_slots(vector: str):
+    """``array<struct<slot, value>>`` of a vector's non-zero entries, without filling in its zeros.
+
+    A sparse vector's own indices and values are used; a dense one (which MLlib
+    makes when that is smaller) gets the places of its values as indices.
+    """
+    v = F.unwrap_udt(F.col(vector))
+    at = F.coalesce(v["indices"], F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    pairs = F.arrays_zip(at.alias("slot"), v["values"].alias("value"))
+    return F.filter(F.when(F.size(v["values"]) > 0, pairs).otherwise(F.array().cast("array<struct<slot:int,value:double>>")),
+                    lambda x: x["value"] != 0.0)
+
+
+def vector_size(vector: str):
+    v = F.unwrap_udt(F.col(vector))
+    return F.coalesce(v["size"], F.size(v["values"]))
+
+
 def build_encoder(roles: dict[str, list[str]]) -> Pipeline:
     return Pipeline(stages=encoding_stages(roles))
 
@@ -54,7 +71,7 @@ def build_pipeline(roles: dict[str, list[str]], estimator) -> Pipeline:
     return Pipeline(stages=[build_encoder(roles), estimator])
 
 
-def check_cardinality(df: DataFrame, cols: Sequence[str], max_distinct: int = MAX_CATEGORIES) -> dict[str, int]:
+def check_cardinality(df: DataFrame, cols: Sequence[str], max_distinct: int) -> dict[str, int]:
     """Approximate distinct count of each categorical column, in one aggregate.
 
     The indexer fit brings every label of every column to the driver; this

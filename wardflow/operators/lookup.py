@@ -1,4 +1,4 @@
-"""Decode admission / discharge / source ids with the code maps (broadcast joins)."""
+"""Decode admission / discharge / source ids with the code maps (joins the planner sizes by its byte threshold)."""
 
 from __future__ import annotations
 
@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.schema import CODE_MAP_COLUMNS, q
-from wardflow.session import bounded_broadcast
-
-MAX_MAP_ROWS = 100_000
 
 
 def unique_codes(maps: DataFrame) -> DataFrame:
@@ -18,14 +15,14 @@ def unique_codes(maps: DataFrame) -> DataFrame:
     return maps.groupBy("map_name", "code").agg(F.min("description").alias("description"))
 
 
-def decode_ids(df: DataFrame, maps: DataFrame, cols: Sequence[str] = tuple(CODE_MAP_COLUMNS),
-               max_map_rows: int = MAX_MAP_ROWS) -> DataFrame:
+def decode_ids(df: DataFrame, maps: DataFrame, cols: Sequence[str] = tuple(CODE_MAP_COLUMNS)) -> DataFrame:
     """Add ``<col>_description`` for each id column; unmatched ids keep a NULL description.
 
-    The map is broadcast only after its row count is checked against
-    ``max_map_rows``; a larger map is left to a shuffle join.
+    Whether a map is broadcast is the planner's choice, by its size in bytes
+    (``spark.sql.autoBroadcastJoinThreshold``); beyond that the join shuffles
+    and AQE splits hot ids.
     """
-    m = bounded_broadcast(unique_codes(maps), max_map_rows)
+    m = unique_codes(maps)
     out = df
     for c in cols:
         side = m.where(F.col("map_name") == F.lit(c)).select(
@@ -34,8 +31,7 @@ def decode_ids(df: DataFrame, maps: DataFrame, cols: Sequence[str] = tuple(CODE_
     return out
 
 
-def code_usage(df: DataFrame, maps: DataFrame, cols: Sequence[str] = tuple(CODE_MAP_COLUMNS),
-               max_map_rows: int = MAX_MAP_ROWS) -> DataFrame:
+def code_usage(df: DataFrame, maps: DataFrame, cols: Sequence[str] = tuple(CODE_MAP_COLUMNS)) -> DataFrame:
     """Code map with the number of encounters per code, plus codes seen but not mapped.
 
     ``(map_name, code, description, n_encounters)``: counts come from one

@@ -23,8 +23,8 @@ from wardflow.operators import score as S
 from wardflow.operators import split as SP
 from wardflow.operators.impute import EncounterImputer, impute
 from wardflow.operators.lookup import code_usage, decode_ids
-from wardflow.schema import (CATEGORICAL_COLUMNS, DIAGNOSIS_COLUMNS, DROP_COLUMNS, KEY, LABEL,
-                             NUMERIC_COLUMNS, RAW_COLUMNS, RECORD_FIELDS, WEIGHT, q)
+from wardflow.schema import (CATEGORICAL_COLUMNS, DIAGNOSIS_COLUMNS, DROP_COLUMNS, KEY, LABEL, MEDICATION_COLUMNS,
+                             NUMERIC_COLUMNS, PER_DAY_RATIOS, RAW_COLUMNS, RECORD_FIELDS, WEIGHT, q)
 from wardflow.session import scratch_path
 from wardflow.sources.files import (read_code_maps, read_confusion, read_encounters, read_metrics, write_confusion,
                                     write_csv, write_metrics)
@@ -66,8 +66,9 @@ def feature_table(enc: DataFrame) -> DataFrame:
 
 def rule_scored(enc: DataFrame) -> DataFrame:
     """Deterministic rule score for model-free evaluation checks:
-    score = comorbidity_count + number_inpatient, prediction = score >= 2."""
-    f = feature_table(enc)
+    score = comorbidity_count + number_inpatient, prediction = score >= 2.
+    Only what it reads is fitted: one mean."""
+    f = FE.comorbidity_count(FE.diagnosis_groups(impute(cleaned(enc), ["number_inpatient"], [])))
     s = (F.col("comorbidity_count") + F.col("number_inpatient")).cast("int")
     return f.select(KEY, LABEL, s.alias("score"), (s >= 2).cast("double").alias("prediction"))
 
@@ -265,17 +266,19 @@ def q_diag_category_counts(spark, enc):
 
 @query("comorbidity_count")
 def q_comorbidity_count(spark, enc):
-    return feature_rows(enc).select(KEY, "diag_1_group", "diag_2_group", "diag_3_group", "comorbidity_count")
+    """Depends on no imputed column, so nothing is fitted: one projection."""
+    return FE.comorbidity_count(FE.diagnosis_groups(cleaned(enc))).select(KEY, "diag_1_group", "diag_2_group", "diag_3_group", "comorbidity_count")
 
 
 @query("per_day_ratios")
 def q_per_day_ratios(spark, enc):
-    return feature_rows(enc).select(KEY, "time_in_hospital", "labs_per_day", "meds_per_day", "procs_per_day")
+    used = ["time_in_hospital", *[num for _, num in PER_DAY_RATIOS]]
+    return FE.per_day_ratios(impute(cleaned(enc), used, [])).select(KEY, "time_in_hospital", "labs_per_day", "meds_per_day", "procs_per_day")
 
 
 @query("med_change_score")
 def q_med_change_score(spark, enc):
-    return feature_rows(enc).select(KEY, "med_change_score")
+    return FE.change_score(impute(cleaned(enc), [], MEDICATION_COLUMNS)).select(KEY, "med_change_score")
 
 
 @query("class_weights")
@@ -298,7 +301,7 @@ def q_hash_split(spark, enc):
 
 
 def _indexed(enc: DataFrame):
-    f = feature_table(enc)
+    f = feature_rows(enc)
     cats = feature_roles_of(f)["categorical"]
     model = E.index_categories(cats).fit(f)
     return f, cats, model
@@ -319,29 +322,22 @@ def q_string_index(spark, enc):
 @query("one_hot_long")
 def q_one_hot_long(spark, enc):
     """Active slot of each one-hot vector, counted: (column, slot, vector size, rows)."""
-    from pyspark.ml.functions import vector_to_array
-
     f, cats, model = _indexed(enc)
     t = E.one_hot(cats).fit(model.transform(f)).transform(model.transform(f))
     pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), vector_to_array(F.col(f"{c}_vec")).alias("v")) for c in cats]))
+        F.struct(F.lit(c).alias("column_name"), E.active_slots(f"{c}_vec").alias("v"), E.vector_size(f"{c}_vec").alias("vector_size")) for c in cats]))
     slots = t.select(pairs.alias("p")).select(
-        "p.column_name",
-        F.when(F.array_position("p.v", 1.0) > 0, F.array_position("p.v", 1.0) - 1).cast("int").alias("slot"),
-        F.size("p.v").alias("vector_size"))
+        "p.column_name", F.when(F.size("p.v") > 0, F.col("p.v")[0]["slot"]).cast("int").alias("slot"), "p.vector_size")
     return slots.groupBy("column_name", "slot", "vector_size").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("assembled_long")
 def q_assembled_long(spark, enc):
     """Per slot of the assembled feature vector: rows with a non-zero value and their sum."""
-    from pyspark.ml.functions import vector_to_array
-
-    f = feature_table(enc)
+    f = feature_rows(enc)
     roles = feature_roles_of(f)
     model = E.build_encoder(roles).fit(f)
-    t = model.transform(f).select(F.posexplode(vector_to_array(F.col(E.FEATURES))).alias("slot", "value"))
-    nz = t.where(F.col("value") != 0.0)
+    nz = model.transform(f).select(F.inline(E.active_slots(E.FEATURES)))
     return nz.groupBy(F.col("slot").cast("int").alias("slot")).agg(
         F.count(F.lit(1)).alias("n_nonzero"), F.round(F.sum("value"), 4).alias("sum_value"))
 

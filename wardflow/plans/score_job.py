@@ -2,9 +2,10 @@
 
     python -m wardflow.plans.score_job --model out/model --input new/ --output scored/ [--stream]
 
-Records failing the contract go to ``<output>_rejects`` with their reason.
-With ``--stream`` the input folder is watched with Structured Streaming
-(``availableNow`` unless ``--continuous``), checkpointing under ``<output>_checkpoint``.
+Records failing the contract go to ``<output>_rejects`` with their reason; the
+input is read once for both. With ``--stream`` the input folder is watched with
+Structured Streaming (``availableNow`` unless ``--continuous``, which runs until it
+is stopped), checkpointing under ``<output>_checkpoint``. Both formats can be streamed.
 
 On a cluster: ``spark-submit --py-files wardflow.zip wardflow/plans/score_job.py ...``.
 """
@@ -14,10 +15,11 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from wardflow.operators.score import shape_scores, split_valid
+from wardflow.operators.score import score_all
 from wardflow.schema import KEY
-from wardflow.session import shared_dir
+from wardflow.session import scratch_path, shared_dir
 from wardflow.sources.model_store import load_model
 from wardflow.streaming.scoring import score_stream
 
@@ -38,19 +40,23 @@ def run(spark: SparkSession, args: argparse.Namespace):
     model = load_model(args.model)
     out = args.output.rstrip("/")
     if args.stream:
-        return score_stream(spark, args.input, model, out, f"{out}_checkpoint", available_now=not args.continuous)
+        return score_stream(spark, args.input, model, out, f"{out}_checkpoint", available_now=not args.continuous, fmt=args.format)
     reader = spark.read.option("header", True) if args.format == "csv" else spark.read
-    records = reader.format(args.format).load(args.input)
-    ok, rejects = split_valid(records)
-    rejects.select(KEY, "reason").write.mode("overwrite").parquet(f"{out}_rejects")
-    shape_scores(model.transform(ok), KEY).write.mode("overwrite").parquet(out)
+    every = scratch_path(spark, "scored")  # narrow: key, reason, three score columns
+    score_all(reader.format(args.format).load(args.input), model).write.parquet(every)
+    rows = spark.read.parquet(every)
+    rows.where(F.col("reason").isNotNull()).select(KEY, "reason").write.mode("overwrite").parquet(f"{out}_rejects")
+    rows.where(F.col("reason").isNull()).drop("reason").write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
 
 def main(argv=None) -> None:
     spark = SparkSession.builder.appName("wardflow-score").getOrCreate()
     try:
-        run(spark, parse(argv))
+        args = parse(argv)
+        result = run(spark, args)
+        if args.stream and args.continuous:
+            result.awaitTermination()
     finally:
         spark.stop()
 

@@ -16,7 +16,7 @@ from wardflow.schema import (CATEGORICAL_COLUMNS, CHANGE_VALUES, DIAG_CATEGORIES
                              DIAGNOSIS_COLUMNS, DROP_COLUMNS, KEY, MAJOR_DISEASE_GROUPS, MEDICATION_COLUMNS,
                              MISSING_TOKEN, NUMERIC_COLUMNS, PER_DAY_RATIOS, RAW_COLUMNS, RECORD_FIELDS,
                              STAY_COLUMN)
-from wardflow.sources.files import CODE_MAP_FILE
+from wardflow.sources.files import code_map_text
 from wardflow.sources.fixtures import encounters_sql_ctes
 
 
@@ -125,7 +125,8 @@ AUC = ("_per_score AS (SELECT score, count(*) FILTER (WHERE label = 1.0) AS pos,
        "AS neg_below FROM _per_score), "
        "_auc AS (SELECT sum(CAST(pos AS DOUBLE) * (2 * CAST(neg_below AS DOUBLE) + CAST(neg AS DOUBLE))) "
        "/ (2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc, "
-       "CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM _ranked)")
+       "CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg, "
+       "(SELECT count(*) FROM _rule WHERE score IS NULL OR label IS NULL) AS n_dropped FROM _ranked)")
 
 CATEGORICAL_FEATURES = CATEGORICAL_COLUMNS + _GROUPED
 NUMERIC_FEATURES = NUMERIC_COLUMNS + ["comorbidity_count", "labs_per_day", "meds_per_day", "procs_per_day",
@@ -149,15 +150,14 @@ def with_(ctes, body: str) -> str:
 def _code_map_values() -> str:
     """The shipped code-map file as a VALUES list, parsed with Python's csv module."""
     rows, name = [], None
-    with open(CODE_MAP_FILE, newline="") as fh:
-        for rec in csv.reader(io.StringIO(fh.read())):
-            if not rec or all(not x.strip() for x in rec):
-                continue
-            code, desc = rec[0].strip(), rec[1].strip() if len(rec) > 1 else ""
-            if desc == "description":
-                name = code
-                continue
-            rows.append((name, code, desc))
+    for rec in csv.reader(io.StringIO(code_map_text())):
+        if not rec or all(not x.strip() for x in rec):
+            continue
+        code, desc = rec[0].strip(), rec[1].strip() if len(rec) > 1 else ""
+        if desc == "description":
+            name = code
+            continue
+        rows.append((name, code, desc))
     return ", ".join(f"({lit(a)}, {lit(b)}, {lit(c)})" for a, b, c in rows)
 
 
@@ -182,14 +182,14 @@ STRICT = ("_strict AS (SELECT *, CASE WHEN readmitted = 'NO' THEN " + DOUBLE0 +
 STRICT_CAT = f"_cat AS (SELECT encounter_id, diag_1, {_diag_category('diag_1')} AS diag_1_category FROM _strict WHERE label IS NOT NULL)"
 
 
-def _validate() -> str:
+def _validate(table: str = "encounters") -> str:
     checks = [f"CASE WHEN {i(c)} IS NULL THEN {lit('missing:' + c)} END" for c in RECORD_FIELDS]
     checks += [f"CASE WHEN {i(c)} IS NOT NULL AND {i(c)} <> {TOK} AND TRY_CAST({i(c)} AS INTEGER) IS NULL "
                f"THEN {lit('not_integer:' + c)} END" for c in NUMERIC_COLUMNS]
     reason = f"NULLIF(concat_ws(';', {', '.join(checks)}), '')"
     toks = " + ".join(f"CASE WHEN {i(c)} = {TOK} THEN 1 ELSE 0 END" for c in RECORD_FIELDS)
     return (f"SELECT encounter_id, {reason} IS NULL AS is_valid, {reason} AS reason, "
-            f"CAST({toks} AS INTEGER) AS n_missing_tokens FROM encounters")
+            f"CAST({toks} AS INTEGER) AS n_missing_tokens FROM {table}")
 
 
 def _missing_profile() -> str:
@@ -263,9 +263,44 @@ def _encode_pipeline() -> str:
     return with_(ctes, body)
 
 
+FAULTY = ("_faulty AS (SELECT * REPLACE (CASE WHEN age = '[50-60)' THEN NULL ELSE race END AS race, "
+          "CASE WHEN age = '[70-80)' THEN 'a week' ELSE time_in_hospital END AS time_in_hospital) FROM encounters)")
+REJECTS = [FAULTY, f"_checked AS ({_validate('_faulty')})"]
+BINARY = f"CASE WHEN readmitted = 'NO' THEN {DOUBLE0} ELSE {DOUBLE1} END"
+
+
+def _named(source: str, **exprs: str) -> str:
+    return " UNION ALL ".join(f"SELECT {lit(k)} AS name, CAST({e} AS BIGINT) AS value FROM {source}" for k, e in exprs.items())
+
+
 def model_oracles() -> dict[str, str]:
-    """SQL twins of model-path keys whose output is SQL-expressible."""
-    return {"encode_pipeline": _encode_pipeline()}
+    """SQL twins of the model queries' figures."""
+    test = f"_test AS (SELECT {BINARY} AS label FROM _nt WHERE NOT ({TRAIN}))"
+    scores = with_([NT, test], "SELECT count(*) AS n_rows, count(*) FILTER (WHERE label = 1.0) AS n_positive, CAST(0 AS BIGINT) AS n_out_of_range, "
+                               "CAST(0 AS BIGINT) AS n_contradicting FROM _test")
+    evaluated = dict(n_positive="count(*) FILTER (WHERE label = 1.0)", n_negative="count(*) FILTER (WHERE label = 0.0)", n_metrics_in_range="5")
+    strict_test = f"_strict_test AS (SELECT label FROM _strict WHERE label IS NOT NULL AND NOT ({TRAIN}))"
+    one = lambda s: s.replace("CAST(5 AS BIGINT) AS value FROM _test", "CAST(5 AS BIGINT) AS value").replace(
+        "CAST(5 AS BIGINT) AS value FROM _strict_test", "CAST(5 AS BIGINT) AS value")
+    batch = dict(n_scored="count(*) FILTER (WHERE is_valid)", n_rejected="count(*) FILTER (WHERE NOT is_valid)")
+    zero = lambda *names: "".join(f" UNION ALL SELECT {lit(n)}, CAST(0 AS BIGINT)" for n in names)
+    compare = " UNION ALL ".join(
+        f"SELECT {lit(m)} AS model, count(*) FILTER (WHERE label = 1.0) AS n_positive, count(*) FILTER (WHERE label = 0.0) AS n_negative, "
+        f"CAST(5 AS BIGINT) AS n_metrics_in_range FROM _test" for m in ("logistic", "logistic_weighted", "forest", "gbt"))
+    return {
+        "encode_pipeline": _encode_pipeline(),
+        "random_split": with_([], "SELECT count(*) AS n_rows, count(DISTINCT encounter_id) AS n_keys, CAST(0 AS BIGINT) AS n_uneven FROM encounters"),
+        "hash_split_null_keys": with_([], f"SELECT CASE WHEN age <> '[50-60)' AND {TRAIN} THEN 'train' ELSE 'test' END AS split, count(*) AS n_rows, "
+                                          "count(*) FILTER (WHERE age IS NULL OR age = '[50-60)') AS n_without_key FROM encounters GROUP BY 1"),
+        **{k: scores for k in ("lr_scores", "lr_weighted_scores", "rf_scores", "gbt_scores")},
+        "model_roundtrip": with_([], "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_other_prediction, CAST(0 AS BIGINT) AS n_other_probability FROM encounters"),
+        "train_eval": with_([NT, test], one(_named("_test", **evaluated))),
+        "model_comparison": with_([NT, test], compare),
+        "category_pipeline": with_([NT, STRICT, strict_test], one(_named("_strict_test", **evaluated))),
+        "score_batch": with_(REJECTS, _named("_checked", **batch) + zero("n_out_of_range", "n_contradicting")),
+        "score_rejects": with_(REJECTS, "SELECT encounter_id, reason FROM _checked WHERE NOT is_valid"),
+        "score_stream": with_(REJECTS, _named("_checked", **batch) + zero("n_differ")),
+    }
 
 
 def oracle_sql() -> dict[str, str]:

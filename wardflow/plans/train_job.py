@@ -19,6 +19,7 @@ from wardflow.operators import models as M
 from wardflow.operators.evaluate import METRIC_NAMES, metrics_wide
 from wardflow.operators.split import hash_split_frames, random_split
 from wardflow.plans.pipeline import train_and_evaluate
+from wardflow.schema import WEIGHT
 from wardflow.session import shared_dir
 from wardflow.sources.files import read_encounters, write_confusion, write_metrics
 from wardflow.sources.model_store import save_model
@@ -31,6 +32,10 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--output", required=True)
     p.add_argument("--model", default="forest", choices=["forest", "gbt", "logistic"])
     p.add_argument("--trees", type=int, default=20)
+    p.add_argument("--iterations", type=int, help="of gbt (default 20) or logistic (default 100)")
+    p.add_argument("--unweighted", action="store_true", help="ignore class weights")
+    p.add_argument("--strict-labels", action="store_true", help="keep rows with a listed target only")
+    p.add_argument("--categories", nargs="*", default=[], help="diagnosis columns whose ICD-9 chapter is a feature")
     p.add_argument("--depth", type=int, default=5)
     p.add_argument("--split", default="hash", choices=["hash", "random"])
     p.add_argument("--seed", type=int, default=42)
@@ -38,11 +43,12 @@ def parse(argv=None) -> argparse.Namespace:
 
 
 def classifier(args: argparse.Namespace):
+    weight = None if args.unweighted else WEIGHT
     if args.model == "forest":
-        return M.forest(numTrees=args.trees, maxDepth=args.depth, seed=args.seed)
+        return M.forest(weight, numTrees=args.trees, maxDepth=args.depth, seed=args.seed)
     if args.model == "gbt":
-        return M.gbt(maxDepth=args.depth, seed=args.seed)
-    return M.logistic(weight="classWeight")
+        return M.gbt(weight, maxIter=args.iterations or 20, maxDepth=args.depth, seed=args.seed)
+    return M.logistic(weight, maxIter=args.iterations or 100)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
@@ -52,7 +58,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
         train, test = hash_split_frames(raw)
     else:
         train, test = random_split(raw, seed=args.seed)
-    model, metrics, confusion = train_and_evaluate(train, test, classifier(args), name=args.model)
+    model, metrics, confusion = train_and_evaluate(train, test, classifier(args), name=args.model,
+                                                   strict=args.strict_labels, categories=args.categories)
     out = args.output.rstrip("/")
     paths = {"model": save_model(model, f"{out}/model"),
              "metrics": write_metrics(metrics_wide(metrics.drop("model"), METRIC_NAMES), f"{out}/metrics"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -40,8 +40,9 @@ def get_session(master: str | None = None, app: str = "wardflow",
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """Folder on the cluster's shared filesystem, under ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (tests, a laptop) do we create
-    a scratch folder and register it as the checkpoint dir.
+    The cluster names it. Only a local master (tests, a laptop), where all
+    tasks see the same disk, gets a scratch folder if it is unset; elsewhere
+    that is an error, since executors could not read each other's files.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
@@ -50,6 +51,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         if current:
             base = current
         else:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError(f"spark.checkpoint.dir is unset on master {sc.master}: name a folder that all executors share")
             base = tempfile.mkdtemp(prefix="wardflow-ckpt-")
             sc.setCheckpointDir(base)
     elif not sc.getCheckpointDir():
@@ -63,15 +66,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one written table."""
     return shared_dir(spark, "wardflow", f"{name}-{uuid.uuid4().hex[:12]}")
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking its size; otherwise leave the join to the planner.
-
-    One cheap count on a small side proves the bound; beyond it the planner
-    picks a shuffle join.
-    """
-    from pyspark.sql import functions as F
-
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -3,7 +3,7 @@ metric and confusion-matrix sinks, and Parquet landing."""
 
 from __future__ import annotations
 
-import os
+from importlib.resources import files
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,7 +15,13 @@ from wardflow.schema import RAW_SCHEMA
 # code maps shipped with the encounter dataset, kept verbatim (leading blanks,
 # quoted commas, out-of-order and missing codes) because the reader must cope
 # with exactly that layout.
-CODE_MAP_FILE = os.path.join(os.path.dirname(__file__), "data", "id_code_maps.csv")
+CODE_MAP_RESOURCE = ("wardflow.sources", "data/id_code_maps.csv")
+
+
+def code_map_text() -> str:
+    """The packaged file's text; also readable where the package lies in a zip."""
+    package, name = CODE_MAP_RESOURCE
+    return files(package).joinpath(name).read_text(encoding="utf-8")
 
 
 def read_encounters(spark: SparkSession, path: str, fmt: str = "csv",
@@ -38,16 +44,21 @@ def land_parquet(df: DataFrame, path: str, partitions: int | None = None) -> str
     return path
 
 
-def read_code_maps(spark: SparkSession, path: str = CODE_MAP_FILE) -> DataFrame:
+def read_code_maps(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Sectioned code-map file(s) -> ``(map_name, code, description)``.
 
+    ``path`` names file(s) that all executors can read; without it the map
+    shipped with the package is used, whose text travels in the plan.
     Each file holds several ``<name>,description`` sections separated by a
     ``,`` line. A file is read whole (one row), split into numbered lines, and
     each line takes the name of the nearest header above it in the same file.
     Quoted commas are parsed by ``from_csv``; descriptions are trimmed; the
     text ``NULL`` is kept as text.
     """
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    if path is None:
+        raw = spark.createDataFrame([("packaged", code_map_text())], "file string, value string")
+    else:
+        raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     lines = raw.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line"))
     lines = lines.where(F.trim("line") != "")
     parsed = lines.select("file", "pos", F.from_csv("line", "code STRING, description STRING").alias("r"))

@@ -115,14 +115,13 @@ def _spark_rule(name: str, rule: tuple) -> Column:
 def encounters_from_lineitem(lineitem: DataFrame, parallelism: int | None = None) -> DataFrame:
     """Build the 50-column all-string encounter table from ``lineitem``.
 
-    Only the four key columns are read. When the scan has fewer splits than
-    the cluster has cores (a single-row-group file), the keys are hash-spread
-    on all four parts first (unique together, so no hot partition, and no
-    sort as a round-robin spread would need) so the md5 work runs in
-    parallel; a scan that is already split is left alone (no shuffle).
+    Only the four key columns are read. ``parallelism`` spreads the keys by a
+    hash of all four parts first (unique together, so no hot partition, and no
+    sort as a round-robin spread would need), for a file of a single row group;
+    without it the scan's own splits are kept (no shuffle).
     """
     keys = lineitem.select(*KEY_PARTS)
-    if parallelism and keys.rdd.getNumPartitions() < parallelism:
+    if parallelism:
         keys = keys.repartition(parallelism, *KEY_PARTS)
     k = F.concat_ws("|", *[F.col(c).cast("string") for c in KEY_PARTS])
     hashed = keys.select(
