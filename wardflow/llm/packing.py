@@ -20,6 +20,7 @@ gives an empty result. Only id and text are read, so other columns can't clash.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -28,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.bpe import load_tokenizer
+from wardflow.llm.bpe import byte_alphabet, load_tokenizer
 from wardflow.llm.common import stage, table
 
 CAPACITY = 4096
 TAIL = 64
-SHARE = 32_768  # pieces of one class that one worker numbers
-CACHE_WORDS = 400_000  # bound on the words a task remembers
+SHARE = 4096  # pieces of one class that one worker numbers
+CACHE_WORDS = 300_000  # bound on the words a task remembers
 STEP_WORDS = 400_000  # words looked up at once
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -52,11 +53,19 @@ def cuts(n: int, capacity: int = CAPACITY, tail: int = TAIL) -> list[int]:
     return out + [n] * (n > 0)
 
 
+# A word of Latin letters and signs after them, of which the vocabulary makes two pieces of text
+PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
+
+
 class WordIds:
     """Ids of words as little-endian bytes; the words last seen are remembered up to a bound."""
 
     def __init__(self, path: str):
-        self.tok, self.known = load_tokenizer(path), {}
+        self.path, self.tok = path, load_tokenizer(path)
+        self.model = self.tok.model
+        self.known: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.spell = {b: c for c, b in byte_alphabet().items()}
 
     def texts(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text. White space is a cut for this vocabulary: what lies between is encoded by itself."""
@@ -72,16 +81,32 @@ class WordIds:
 
     def _ids(self, group: list[list[bytes]]) -> Iterator[bytes]:
         words = set().union(*group)
-        new = list(words.difference(self.known))
+        new = words.difference(self.known)
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known = {w: self.known[w] for w in words if w in self.known}
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            found = self.tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, found, strict=True))
+        if len(self.letters) > CACHE_WORDS:
+            self.letters.clear()
+        other = []
+        for w in new:
+            text = w.decode()
+            if plain := PLAIN.fullmatch(text):
+                self.known[w] = self._plain(plain[1].lower()) + (self._plain(plain[2]) if plain[2] else b"")
+            else:
+                other.append(text)
+        for at in range(0, len(other), 10_000):
+            some = other[at:at + 10_000]
+            found = self.tok.encode_batch_fast(some, add_special_tokens=False)
+            self.known.update((w.encode(), np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, found, strict=True))
         for words in group:
             yield b"".join(map(self.known.__getitem__, words))
 
+    def _plain(self, text: str) -> bytes:
+        """Ids of lower-case Latin letters, or of signs: nothing is left to the library's steps but its model's."""
+        if (found := self.letters.get(text)) is None:
+            spelled = text.encode().decode("latin-1").translate(self.spell)
+            found = self.letters[text] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spelled)])
+        return found
+
 
 _words: WordIds | None = None
 
@@ -91,7 +116,6 @@ def _word_ids(path: str) -> WordIds:
     global _words
     if _words is None or _words.path != path:
         _words = WordIds(path)
-        _words.path = path
     return _words
 
 
