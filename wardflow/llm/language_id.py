@@ -306,12 +306,12 @@ def _calibrate(model: LanguageModel, rows: DataFrame, sample: int) -> None:
         fit = np.linalg.lstsq(a * w[:, None], sq * w, rcond=None)[0]
         model.spread[j] = np.maximum(fit, [1e-4, 1e-2])
         z[true == j] = ((own - model.mean[j]) / np.sqrt(model.spread[j, 0] + model.spread[j, 1] / n))[true == j]
-    model.limit = max(6.0, 1.5 * float(np.quantile(z, 0.999)))
+    model.limit = max(12.0, 2.0 * float(np.quantile(z, 0.999)))  # far out: mixed and odd texts stay
 
 
-def language_of(model: LanguageModel, text):
+def language_of(spark: SparkSession, model: LanguageModel, text):
     """The struct (lang_pred, score, entropy, accepted) of a text column."""
-    shared = SparkSession.active().sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf(RESULT)
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -325,13 +325,13 @@ def add_language(docs: DataFrame, model: LanguageModel, text_col: str = "text")
     """``docs`` with ``lang_pred``, ``score``, ``entropy`` and ``accepted``."""
     names = ("lang_pred", "score", "entropy", "accepted")
     own = free_name(docs, "language")
-    out = docs.withColumn(own, language_of(model, F.col(text_col)))
+    out = docs.withColumn(own, language_of(docs.sparkSession, model, F.col(text_col)))
     return out.withColumns({c: F.col(f"{own}.{c}") for c in names}).drop(own)
 
 
 def keep_accepted(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the model accepts, unchanged."""
-    return keep_where(docs, language_of(model, F.col(text_col)), "accepted")
+    return keep_where(docs, language_of(docs.sparkSession, model, F.col(text_col)), "accepted")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -216,9 +216,9 @@ def _fit(rows: pa.Table, rounds: int, scale: float = 30.0, decay: float = 1e-4)
     return QualityModel((w * scale).reshape(3, 1 << BITS), a, a * b + c)
 
 
-def quality_of(model: QualityModel, text):
+def quality_of(spark: SparkSession, model: QualityModel, text):
     """The struct of base counts, ``base_failed``, ``quality`` (probability) and ``kept`` of a text column."""
-    shared = SparkSession.active().sparkContext.broadcast(model)  # three families of 2^BITS weights
+    shared = spark.sparkContext.broadcast(model)  # three families of 2^BITS weights
 
     @F.pandas_udf(RESULT)
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -231,13 +231,13 @@ def quality_of(model: QualityModel, text):
 def add_quality(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
     """``docs`` with the fields of :func:`quality_of`."""
     own = free_name(docs, "rules")
-    out = docs.withColumn(own, quality_of(model, F.col(text_col)))
+    out = docs.withColumn(own, quality_of(docs.sparkSession, model, F.col(text_col)))
     return out.withColumns({c: F.col(f"{own}.{c}") for c in (*COUNTS, "base_failed", "quality", "kept")}).drop(own)
 
 
 def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, unchanged."""
-    return keep_where(docs, quality_of(model, F.col(text_col)), "kept")
+    return keep_where(docs, quality_of(docs.sparkSession, model, F.col(text_col)), "kept")
 
 
 def op8_quality(spark, sf_dir: str) -> DataFrame:
