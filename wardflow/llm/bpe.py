@@ -1,20 +1,20 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Three steps, each a Spark stage:
-
-1. ``split``: every text is cut into words (white space before a word belongs to
-   it, and no token crosses such a cut), a chunk of documents keeps its distinct
-   words once and its texts as places in that list. The chunks are written to the
-   shared folder.
-2. ``encode``: the chunks' word lists are dealt out by a hash of the word; each
-   bucket encodes each distinct word once with the tokenizers library and joins
-   each word's ids to their pieces for decoding.
-3. ``join back``: chunk and encoded words meet by chunk; a text's ids, and its
-   decoded text, are those of its words by position.
-
-What is shuffled are word lists and places (compressed Arrow buffers), never one
-row per token, and no table is broadcast but the pieces of the vocabulary, whose
-size is fixed by the tokenizer's file.
+Every text is cut into words (white space before a word belongs to it, and no
+token crosses such a cut); a chunk of documents has its distinct words once and
+its texts as places in that list.
+
+1. ``split``, first reading: the chunks' word lists are dealt out by a hash of the
+   word, and each bucket encodes each distinct word once with the tokenizers library.
+2. ``split``, second reading: the chunks' places meet the encoded words by chunk. A
+   text's ids are those of its words by position; for the decoded text the chunk's
+   words' ids are joined to the pieces of the vocabulary, and put together likewise.
+
+What is shuffled are word lists, ids and places as compressed Arrow buffers, about
+as much as the text's entropy, never one row per token. Reading twice is cheaper
+than keeping the chunks on disk. A chunk's key holds a hash of its texts, so an
+input that changes between the readings fails instead of giving wrong ids. Only
+the pieces are sent to all tasks, whose size the tokenizer's file fixes.
 
 Defined results: a null text is the empty text (no ids, empty decoded text);
 repeated rows and null ids come back as often as they came; special tokens
@@ -27,7 +27,7 @@ aren't carried.
 from __future__ import annotations
 
 import os
-from collections import defaultdict
+from collections import defaultdict, deque
 from collections.abc import Iterator
 from itertools import count
 from zlib import crc32
@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import stage, table
+from wardflow.llm.common import table
 
 CHUNK_CHARS = 24_000_000
 ENCODE_STEP = 20_000  # words handed to the tokenizer at once
@@ -97,106 +97,126 @@ def _rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         [pa.array(chunk, pa.int64()), pa.array(bucket, pa.int32()), pa.array(body, pa.binary())], ["chunk", "bucket", "body"])
 
 
-def split_words(docs: DataFrame, buckets: int) -> DataFrame:
-    """Chunks: for bucket -1 its documents as places in the word list, for the others their share of that list."""
+def _planes(codes: np.ndarray) -> bytes:
+    """32-bit numbers as four runs of bytes, the high ones mostly zero: these compress well."""
+    return codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _codes(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+def split_words(docs: DataFrame, buckets: int, words: bool) -> DataFrame:
+    """Of each chunk, either its distinct words by bucket or (bucket -1) its documents as places in their list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
+        from xxhash import xxh64
+
         words_of = re.compile(WORD).findall
         number = count(TaskContext.get().partitionId() << 32)
-
-        def close(ids, texts, place) -> pa.RecordBatch:
-            chunk = next(number)
-            width = np.uint16 if len(place) <= 1 << 16 else np.uint32
-            lens = np.array([len(t) for t in texts], np.int64)
-            codes = np.concatenate([*texts, np.zeros(0, np.int64)]).astype(width)
-            body = _pack(ids=pa.array([ids], pa.list_(pa.int64())), lens=pa.array([lens], pa.list_(pa.int64())),
-                         codes=pa.array([codes], pa.list_(pa.from_numpy_dtype(width))))
-            out = [(chunk, -1, body)]
-            words = list(place)
-            share = np.fromiter((crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.int64, len(words)) % buckets
+        content = xxh64()
+
+        def close() -> pa.RecordBatch:
+            content.update(str(next(number)))
+            chunk = content.intdigest() - (1 << 63)
+            # in the order in which the words come, the places of frequent words are small
+            share = np.fromiter((crc32(w.encode("utf-8", "surrogatepass")) for w in place), np.int64, len(place)) % buckets
+            if not words:
+                return _rows([(chunk, -1, _pack(
+                    ids=pa.array([ids], pa.list_(pa.int64())), lens=pa.array([lens], pa.list_(pa.int64())),
+                    codes=pa.array([_planes(np.concatenate([*texts, np.zeros(0, np.int32)]))], pa.binary()),
+                    share=pa.array([share], pa.list_(pa.int32()))))])
             order = np.argsort(share, kind="stable")
             cuts = np.searchsorted(share[order], np.arange(buckets + 1))
-            for b in range(buckets):
-                mine = order[cuts[b]:cuts[b + 1]]
-                if len(mine):
-                    out.append((chunk, b, _pack(place=pa.array(mine.astype(np.int32)), word=pa.array([words[i] for i in mine], pa.string()))))
-            return _rows(out)
+            known = pa.array(place.keys(), pa.string())
+            return _rows([(chunk, b, _pack(word=known.take(pa.array(order[cuts[b]:cuts[b + 1]]))))
+                          for b in range(buckets) if cuts[b] < cuts[b + 1]] or [(chunk, 0, _pack(word=pa.array([], pa.string())))])
 
-        ids, texts, size = [], [], 0
+        ids, lens, texts, size = [], [], [], 0
         place: dict[str, int] = defaultdict(count().__next__)
         for batch in batches:
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py() or ""
                 found = words_of(text)
                 ids.append(i)
-                texts.append(np.fromiter(map(place.__getitem__, found), np.int64, len(found)).astype(np.int32))
+                lens.append(len(found))
+                at = map(place.__getitem__, found)
+                if words:
+                    deque(at, 0)
+                else:
+                    texts.append(np.fromiter(at, np.int32, len(found)))
+                content.update(text.encode("utf-8", "surrogatepass"))
                 size += len(text)
                 if size >= CHUNK_CHARS:
-                    yield close(ids, texts, place)
-                    ids, texts, size = [], [], 0
+                    yield close()
+                    ids, lens, texts, size = [], [], [], 0
                     place = defaultdict(count().__next__)
+                    content = xxh64()
         if ids:
-            yield close(ids, texts, place)
+            yield close()
 
     return docs.mapInArrow(run, _ROW)
 
 
-def encode_words(chunks: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Each bucket's distinct words, encoded once; given back to the chunks as ids and pieces' bytes by place."""
+def encode_words(chunks: DataFrame, tokenizer_path: str, width=np.int32) -> DataFrame:
+    """Each bucket's distinct words, encoded once; their ids go back to the chunks in the order of the chunks' lists."""
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = load_tokenizer(tokenizer_path)
-        piece = pieces(tok)
         place: dict[str, int] = defaultdict(count().__next__)
         lists = []
         for batch in batches:
             for chunk, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
-                got = _unpack(body.as_buffer())
-                words = got.column("word").to_pylist()
-                lists.append((chunk, got.column("place"), np.fromiter(map(place.__getitem__, words), np.int64, len(words))))
+                words = _unpack(body.as_buffer()).column("word").to_pylist()
+                lists.append((chunk, np.fromiter(map(place.__getitem__, words), np.int64, len(words))))
         words = list(place)
         place.clear()
-        ids, decoded = [], []
+        ids = []
         for at in range(0, len(words), ENCODE_STEP):
-            for e in tok.encode_batch_fast(words[at:at + ENCODE_STEP], add_special_tokens=False):
-                ids.append(np.array(e.ids, np.int32))
-                decoded.append(b"".join([piece[i] for i in e.ids]))  # the id-to-piece join, once for each word
-        lens = np.array([len(x) for x in ids], np.int32)
-        ids = pa.ListArray.from_arrays(np.r_[0, np.cumsum(lens)].astype(np.int32), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)])))
-        decoded = pa.array(decoded, pa.binary())
-        for chunk, at, which in lists:
-            which = pa.array(which)
-            yield _rows([(chunk, key[0].as_py(), _pack(place=at, ids=ids.take(which), bytes=decoded.take(which)))])
+            ids.extend(np.array(e.ids, width) for e in tok.encode_batch_fast(words[at:at + ENCODE_STEP], add_special_tokens=False))
+        ids = pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(x) for x in ids])].astype(np.int32), pa.array(np.concatenate([*ids, np.zeros(0, width)])))
+        for chunk, which in lists:
+            mine = ids.take(pa.array(which))
+            lens = np.diff(mine.offsets.to_numpy()).astype(np.int32)
+            yield _rows([(chunk, key[0].as_py(), _pack(lens=pa.array([_planes(lens)], pa.binary()), ids=pa.array([mine.flatten()], pa.list_(mine.type.value_type))))])
 
-    return chunks.filter("bucket >= 0").groupBy("bucket").applyInArrow(run, _ROW)
+    return chunks.groupBy("bucket").applyInArrow(run, _ROW)
 
 
-def join_back(chunks: DataFrame, encoded: DataFrame) -> DataFrame:
+def join_back(places: DataFrame, encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     """(id, ids, decoded) of each document, by position in its chunk's word list."""
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, parts = None, []
+        piece = pieces(load_tokenizer(tokenizer_path))
+        docs, parts = None, {}
         for batch in batches:
             for bucket, body in zip(batch.column("bucket").to_pylist(), batch.column("body"), strict=True):
                 if bucket < 0:
                     docs = _unpack(body.as_buffer())
                 else:
-                    parts.append(_unpack(body.as_buffer()))
-        places = np.concatenate([p.column("place").to_numpy() for p in parts]) if parts else np.zeros(0, np.int64)
-        back = np.empty(len(places), np.int64)
-        back[places] = np.arange(len(places))  # place in the chunk's list -> row of what came back
-        if parts:
-            ids = pa.concat_arrays([p.column("ids") for p in parts]).take(pa.array(back))
-            pieces_of = pa.concat_arrays([p.column("bytes") for p in parts]).take(pa.array(back))
-        else:
-            ids, pieces_of = pa.array([], pa.list_(pa.int32())), pa.array([], pa.binary())
-        flat, starts = ids.flatten().to_numpy(), ids.offsets.to_numpy().astype(np.int64)
-        starts -= starts[0] if len(starts) else 0
-        pieces_of = pieces_of.to_pylist()
+                    parts[bucket] = _unpack(body.as_buffer())
+        if docs is None or not parts:
+            raise ValueError("the documents changed between two readings")
+        share = docs.column("share").flatten().to_numpy()
+        size = np.zeros(len(share), np.int64)
+        flat, lists = [], []
+        for b, part in parts.items():
+            mine = np.flatnonzero(share == b)
+            lens = _codes(part.column("lens")[0].as_py())
+            if len(lens) != len(mine):
+                raise ValueError("the documents changed between two readings")
+            lists.append(mine)
+            size[mine] = lens
+            flat.append(part.column("ids").flatten().to_numpy())
+        order = np.concatenate(lists)  # of the words, as their ids lie in a row
+        flat = np.concatenate(flat)
+        starts = np.zeros(len(share), np.int64)
+        starts[order] = np.r_[0, np.cumsum(size[order])[:-1]] if len(order) else 0
+        spelled = [b"".join([piece[i] for i in flat[a:a + n]]) for a, n in zip(starts.tolist(), size.tolist(), strict=True)]
         doc_ids, lens = docs.column("ids").flatten(), docs.column("lens").flatten().to_numpy()
-        codes = docs.column("codes").flatten().to_numpy()
+        codes = _codes(docs.column("codes")[0].as_py())
         ends = np.cumsum(lens)
         at = 0
         while at < len(lens):
@@ -204,29 +224,32 @@ def join_back(chunks: DataFrame, encoded: DataFrame) -> DataFrame:
             out_ids, texts = [], []
             for d in range(at, upto):
                 mine = codes[ends[d] - lens[d]:ends[d]].astype(np.int64)
-                size = starts[mine + 1] - starts[mine]
-                total = int(size.sum())
-                step = np.repeat(starts[mine] - np.r_[0, np.cumsum(size)[:-1]], size) if len(mine) else np.zeros(0, np.int64)
-                out_ids.append(flat[step + np.arange(total)])
-                texts.append(b"".join([pieces_of[i] for i in mine]).decode("utf-8", "replace"))
+                n = size[mine]
+                step = np.repeat(starts[mine] - np.r_[0, np.cumsum(n)[:-1]], n) if len(mine) else np.zeros(0, np.int64)
+                out_ids.append(flat[step + np.arange(int(n.sum()))])
+                texts.append(b"".join([spelled[i] for i in mine.tolist()]).decode("utf-8", "replace"))
             offsets = np.r_[0, np.cumsum([len(x) for x in out_ids])].astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [doc_ids.slice(at, upto - at), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(out_ids).astype(np.int32))),
                  pa.array(texts, pa.string())], ["id", "ids", "decoded"])
             at = upto
 
-    # the documents' rows are as large as all their words' rows; one shuffle by chunk brings both together
-    return chunks.filter("bucket < 0").unionByName(encoded).groupBy("chunk") \
-        .applyInArrow(run, "id long, ids array<int>, decoded string")
+    # both sides are grouped by chunk in one shuffle
+    return places.unionByName(encoded).groupBy("chunk").applyInArrow(run, "id long, ids array<int>, decoded string")
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                      buckets: int | None = None) -> DataFrame:
-    """(id, ids array<int>, decoded string) of every row. ``buckets``: into how many parts the words are dealt,
-    by default as many as the scan has partitions, so that a bucket stays as large as a chunk's list."""
+    """(id, ids array<int>, decoded string) of every row of ``docs``, which is read twice and must stay the same.
+
+    ``buckets``: into how many parts the words are dealt, by default as many as the scan has partitions, so that
+    a bucket stays as large as a chunk's list.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    chunks = stage(split_words(rows, buckets or max(1, rows.rdd.getNumPartitions())), "bpe-chunks")
-    return join_back(chunks, encode_words(chunks, tokenizer_path))
+    buckets = buckets or max(1, rows.rdd.getNumPartitions())
+    size = load_tokenizer(tokenizer_path).get_vocab_size(with_added_tokens=True)
+    encoded = encode_words(split_words(rows, buckets, words=True), tokenizer_path, np.uint16 if size <= 1 << 16 else np.int32)
+    return join_back(split_words(rows, buckets, words=False), encoded, tokenizer_path)
 
 
 def decode_ids(rows: DataFrame, tokenizer_path: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
