@@ -1,0 +1,71 @@
+from pyspark.sql import functions as F
+from .conftest import prose
+
+from wardflow.llm import language_id as L
+
+
+def corpus(make_docs, n=90):
+    rows = [(i, prose(i, 40 + i % 50, v), v) for i in range(n) for v in [("en", "fr", "de")[i % 3]]]
+    return make_docs(rows)
+
+
+def test_predicts_held_out_languages(make_docs):
+    docs = corpus(make_docs)
+    model = L.train(docs.filter(~L.held_out()))
+    out = L.add_language(docs, model).withColumn("held", L.held_out()).collect()
+    held = [r for r in out if r["held"]]
+    assert held and all(r["lang_pred"] == r["lang"] for r in held)
+    assert all(0 <= r["score"] <= 1 for r in out) and all(r["accepted"] for r in out)
+    assert out[0]["source"] == "src"  # other columns stay
+
+
+def test_probabilities_sum_to_one(make_docs):
+    model = L.train(corpus(make_docs))
+    import numpy as np
+
+    m = model.models[0]
+    context = m.keys[0] & ~np.uint64(0xFFFF)
+    alphabet = np.unique(np.concatenate([x.keys for x in model.models]) & np.uint64(0xFFFF))
+    p = m.prob(context | alphabet)
+    assert (p > 0).all() and abs(p.sum() + (1 - p.sum())) == 1 and p.sum() <= 1 + 1e-9
+    assert p.sum() > 0.99 - m.uniform
+
+
+def test_odd_texts_and_rejection(make_docs, odd_texts):
+    model = L.train(corpus(make_docs))
+    rows = [(i, t, None) for i, t in enumerate(odd_texts)] + [(100, prose(1, 30), "en"), (100, prose(1, 30), "en"), (None, prose(2, 30, "de"), None)]
+    rows.append((200, "qzxjkvwpq jxqzkv wqxzj vkqpx zzqxj " * 30, None))
+    got = {(r["doc_id"], r["text"]): r for r in L.add_language(make_docs(rows), model).collect()}
+    for t in (None, "", "   \n\t "):
+        r = next(v for (i, x), v in got.items() if x == t)
+        assert (r["lang_pred"], r["score"], r["accepted"]) == ("und", 0.0, False)
+    assert got[100, prose(1, 30)]["lang_pred"] == "en" and got[None, prose(2, 30, "de")]["lang_pred"] == "de"
+    assert not got[200, rows[-1][1]]["accepted"]
+    kept = L.keep_accepted(make_docs(rows), model)
+    assert kept.columns == make_docs(rows).columns
+    assert kept.filter("doc_id = 100").count() == 2 and kept.filter("doc_id = 200").count() == 0
+
+
+def test_no_labels_and_empty_table(make_docs, spark):
+    docs = make_docs([(1, "some text", None)])
+    model = L.train(docs)
+    assert L.add_language(docs, model).first()["lang_pred"] == "und"
+    empty = docs.filter("false")
+    assert L.add_language(empty, L.train(empty)).count() == 0
+
+
+def test_slices_add_up(make_docs, monkeypatch):
+    model = L.train(corpus(make_docs))
+    text = prose(5, 5000)
+    whole = model.entropies([text])
+    monkeypatch.setattr(L, "SLICE", 3000)
+    parts = model.entropies([text])
+    assert abs(whole[0] - parts[0]).max() < 0.02 and abs(whole[2] - parts[2]).max() == 0
+
+
+def test_held_out_rule(spark):
+    import zlib
+
+    got = spark.range(200).withColumnRenamed("id", "doc_id").select("doc_id", L.held_out().alias("h")).collect()
+    assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    assert spark.createDataFrame([(None,)], "doc_id long").select(F.coalesce(L.held_out(), F.lit(None))).first()[0] is False

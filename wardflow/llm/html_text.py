@@ -187,7 +187,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
             text = [main_text(x if isinstance(x, str) else None) for x in batch]
             yield pd.DataFrame({"text": text, "n_chars": [len(t) for t in text]})
 
-    out = pages.withColumn("__page", run(F.col(html_col)))
+    out = pages.withColumn("__page", run.asNondeterministic()(F.col(html_col)))
     return out.withColumns({c: F.col(f"__page.{c}") for c in ("text", "n_chars")}).drop("__page")
 
 

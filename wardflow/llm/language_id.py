@@ -318,7 +318,8 @@ def language_of(spark: SparkSession, model: LanguageModel, text):
         for batch in texts:
             yield shared.value.predict([t if isinstance(t, str) else None for t in batch])
 
-    return predict(text)
+    # not moved or repeated by the optimizer, whatever is done with its fields
+    return predict.asNondeterministic()(text)
 
 
 def add_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:

@@ -64,6 +64,8 @@ def repeated_words(hashes: np.ndarray, sizes: np.ndarray, window: int = WINDOW)
             key = key * np.uint64(0x9E3779B97F4A7C15) + h[j:n - window + 1 + j]
         key = mix64(key ^ mix64(owner[:n - window + 1].astype(np.uint64) + np.uint64(1)))
     at = np.flatnonzero(owner[:n - window + 1] == owner[window - 1:])
+    if not len(at):  # no text is as long as a window
+        return np.zeros(len(sizes), np.int64)
     order = np.argsort(key[at], kind="stable")
     k = key[at][order]
     same = k[1:] == k[:-1]
@@ -225,7 +227,8 @@ def quality_of(spark: SparkSession, model: QualityModel, text):
         for batch in texts:
             yield shared.value.predict([t if isinstance(t, str) else None for t in batch])
 
-    return predict(text)
+    # not moved or repeated by the optimizer, whatever is done with its fields
+    return predict.asNondeterministic()(text)
 
 
 def add_quality(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:

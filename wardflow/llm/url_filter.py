@@ -201,9 +201,9 @@ def judge(pages: DataFrame, rules=RULES, blocked: DataFrame | None = None, url_c
         rule[rows] = hit - (np.cumsum(size) - size)[rows] + 1
         return pd.DataFrame({"rule": rule, "verdict": verdict})
 
-    found = keyed.withColumn("__found", look_up(
+    found = keyed.withColumn("__found", look_up.asNondeterministic()(
         F.transform("__keys", lambda k: F.xxhash64(k)), F.transform("__keys", lambda k: F.xxhash64(F.lit(7), k)), F.col("__h1"), F.col("__h2")))
-    out = found.withColumns({"rule": F.when(F.col("__found.rule") > 0, F.element_at("__keys", F.greatest(F.col("__found.rule"), F.lit(1)))),
+    out = found.withColumns({"rule": F.try_element_at(F.col("__keys"), F.nullif(F.col("__found.rule"), F.lit(0))),
                              "verdict": F.col("__found.verdict")})
     if exact is not None:
         out = blocked_by_join(out, exact)
