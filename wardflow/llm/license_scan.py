@@ -4,7 +4,9 @@ DataFrame functions only. Words are runs of letters and digits in lower case,
 shingles five words. For each length of template, windows of that many words
 begin at every ``stride``-th word of a text (an eighth of the template's shingles, so
 some window nearly lines up with any notice). A window signs with the least hash of
-its shingles in each of ``BANDS`` hash functions, one row a band: a notice that keeps
+its shingles in each of ``BANDS`` hash functions, one row a band, and meets the
+templates that have the same sign. As that takes the very shingle that gives the
+template its sign, only windows around such shingles are signed. A notice that keeps
 0.8 of its template's shingles has a similarity of at least 0.55 with some window,
 and is retrieved with a probability of 1 - 0.45 ** BANDS, all but a few in a million
 (an unchanged notice that lines up always). Retrieved windows, widened by a stride at both ends, are
@@ -76,10 +78,12 @@ def _word_array(text):
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def _shingles(words, n: int):
-    """Hashes of the word n-grams at each place."""
-    places = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-    return F.coalesce(F.transform(places, lambda i: F.xxhash64(F.array_join(F.slice(words, i, n), " "))), F.array().cast("array<bigint>"))
+def _shingles(words: str, n: int):
+    """Hashes of the word n-grams at each place of an array column."""
+    w = F.col(words)
+    shifted = F.arrays_zip(*[F.slice(w, j + 1, F.size(w) - (n - 1)).alias(f"w{j}") for j in range(n)])
+    hashed = F.transform(shifted, lambda z: F.xxhash64(*[z[f"w{j}"] for j in range(n)]))
+    return F.when(F.size(w) >= n, hashed).otherwise(F.array().cast("array<bigint>"))
 
 
 def _computed(rows: DataFrame, keep: list[str], **columns) -> DataFrame:
@@ -89,8 +93,8 @@ def _computed(rows: DataFrame, keep: list[str], **columns) -> DataFrame:
 
 def template_table(spark, templates: dict[str, str], n: int = N) -> DataFrame:
     """(license, width in shingles, stride, shingles) of each template with at least ``n`` words."""
-    rows = spark.createDataFrame([(k, " ".join(words_of(t))) for k, t in templates.items()], "license string, t string")
-    rows = rows.withColumn("s", _shingles(F.split("t", " "), n)).filter(F.size("s") > 0)
+    rows = spark.createDataFrame([(k, words_of(t)) for k, t in templates.items()], "license string, w array<string>")
+    rows = rows.withColumn("s", _shingles("w", n)).filter(F.size("s") > 0)
     return rows.select("license", F.size("s").alias("width"), F.greatest(F.lit(1), F.floor(F.size("s") / 8).cast("int")).alias("stride"),
                        F.array_distinct("s").alias("template"))
 
@@ -100,43 +104,42 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str = "
     """(id, license, n_windows, containment, first_word)"""
     spark = docs.sparkSession
     known = template_table(spark, templates, n)
-
-    def least(places, j: int):
-        return F.array_min(F.transform(places, lambda x: F.xxhash64(x, F.lit(j))))
-
-    # one row per template band: a table whose size the templates fix
-    signs = known.select("*", F.posexplode(F.array(*[least(F.col("template"), j) for j in range(bands)])).alias("band", "value"))
-    widths = sorted({len(words_of(t)) - n + 1 for t in templates.values() if len(words_of(t)) >= n})
+    # one row for each template and band: the band's sign, and the shingle that has it
+    by_band = [F.array_min(F.transform("template", _signed(j))) for j in range(bands)]
+    signs = known.select("*", F.posexplode(F.array(*by_band)).alias("band", "least")) \
+        .select("license", "width", "stride", "template", "band", F.col("least.h").alias("sign"), F.col("least.x").alias("x"))
+    wanted = F.array(*[F.lit(r["x"]) for r in signs.select("x").distinct().collect()])  # at most templates x bands
+    widths = [len(words_of(t)) - n + 1 for t in templates.values()]
+    reach = max(widths) + 2 * max(1, max(widths) // 8)
     text = F.col(text_col).cast("string")
     may = F.lower(text).rlike("|".join(re.escape(a) for a in anchors(templates, n, contained)))
     rows = _computed(docs.select(F.col(id_col).alias("id"), text.alias("text")).filter(may), ["id"], w=_word_array(F.col("text")))
-    rows = _computed(rows, ["id"], s=_shingles(F.col("w"), n)).filter(F.size("s") > 0)
-
-    def hashed_by(j: int):
-        return F.transform("s", lambda x: F.xxhash64(x, F.lit(j)))
-
-    def windows_of(width: int):
-        stride = max(1, width // 8)
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("s") - (width - 1)), F.lit(stride))
-        return F.transform(starts, lambda i: F.struct(
-            F.lit(width).alias("width"), i.alias("start"),
-            F.array(*[F.array_min(F.slice(F.col(f"h{j}"), i, F.lit(width))) for j in range(bands)]).alias("sign"),
-            F.slice("s", F.greatest(F.lit(1), i - stride), F.lit(width + 2 * stride)).alias("wide")))
-
-    hashed = _computed(rows, ["id", "s"], **{f"h{j}": hashed_by(j) for j in range(bands)})
-    windows = [windows_of(width) for width in widths]
-    # only windows whose sign meets a template's leave the text's row; the join then names the templates
-    values = [r["value"] for r in signs.select("value").distinct().collect()]  # templates x bands
-    wanted = F.array(*[F.lit(v) for v in values])
-    hits = hashed.select("id", F.filter(F.concat(*windows), lambda w: F.arrays_overlap(w["sign"], wanted)).alias("hits")) \
-        .select("id", F.explode("hits").alias("hit")).select("id", "hit.*")
-    bands_of = hits.select("id", "width", "start", "wide", F.posexplode("sign").alias("band", "value"))
-    met = bands_of.join(F.broadcast(signs), ["width", "band", "value"])
-    checked = met.withColumn("containment", F.size(F.array_intersect("template", "wide")) / F.size("template")) \
+    rows = _computed(rows, ["id"], s=_shingles("w", n)).filter(F.size("s") > 0)
+    # a window's sign in a band is a template's only if the window holds the shingle that has that sign
+    places = F.filter(F.transform("s", lambda x, i: F.struct(x.alias("x"), (i + 1).alias("p"))), lambda z: F.array_contains(wanted, z["x"]))
+    hits = rows.select("id", "s", F.inline(places)) \
+        .select("id", "p", "x", F.size("s").alias("n"), F.greatest(F.lit(1), F.col("p") - reach).alias("base"),
+                F.slice("s", F.greatest(F.lit(1), F.col("p") - reach), F.lit(2 * reach + 1)).alias("near"))
+    first = F.greatest(F.lit(0), F.ceil((F.col("p") - F.col("width")) / F.col("stride")).cast("int"))
+    last = F.least(F.floor((F.col("p") - 1) / F.col("stride")),
+                   F.floor(F.greatest(F.lit(0), F.col("n") - F.col("width")) / F.col("stride"))).cast("int")
+    windows = hits.join(F.broadcast(signs), "x") \
+        .withColumns({"first": first, "last": last}).filter("first <= last") \
+        .withColumn("k", F.explode(F.sequence("first", "last"))).withColumn("start", F.col("k") * F.col("stride") + 1)
+    window = F.slice("near", F.col("start") - F.col("base") + 1, F.col("width"))
+    met = windows.filter(F.array_min(F.transform(window, lambda x: F.xxhash64(x, F.col("band")))) == F.col("sign"))
+    left = F.greatest(F.lit(1), F.col("start") - F.col("stride"))
+    wide = F.slice("near", left - F.col("base") + 1, F.col("width") + 2 * F.col("stride"))
+    checked = met.withColumn("containment", F.size(F.array_intersect("template", wide)) / F.size("template")) \
         .filter(F.col("containment") >= contained)
     return checked.groupBy("id", "license").agg(
         F.countDistinct("start").alias("n_windows"), F.max("containment").alias("containment"), (F.min("start") - 1).alias("first_word"))
 
 
+def _signed(band: int):
+    """A shingle with its hash in a band; the least of them by hash is the band's sign."""
+    return lambda x: F.struct(F.xxhash64(x, F.lit(band)).alias("h"), x.alias("x"))
+
+
 def op7_license_scan(spark, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
