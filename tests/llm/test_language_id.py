@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 from .conftest import prose
 
 from wardflow.llm import language_id as L
@@ -27,8 +26,7 @@ def test_probabilities_sum_to_one(make_docs):
     context = m.keys[0] & ~np.uint64(0xFFFF)
     alphabet = np.unique(np.concatenate([x.keys for x in model.models]) & np.uint64(0xFFFF))
     p = m.prob(context | alphabet)
-    assert (p > 0).all() and abs(p.sum() + (1 - p.sum())) == 1 and p.sum() <= 1 + 1e-9
-    assert p.sum() > 0.99 - m.uniform
+    assert (p > 0).all() and 0.99 - m.uniform < p.sum() <= 1 + 1e-9
 
 
 def test_odd_texts_and_rejection(make_docs, odd_texts):
@@ -68,4 +66,4 @@ def test_held_out_rule(spark):
 
     got = spark.range(200).withColumnRenamed("id", "doc_id").select("doc_id", L.held_out().alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
-    assert spark.createDataFrame([(None,)], "doc_id long").select(F.coalesce(L.held_out(), F.lit(None))).first()[0] is False
+    assert spark.createDataFrame([(None,)], "doc_id long").select(L.held_out()).first()[0] is False
