@@ -39,6 +39,7 @@ TRIAL = 200  # queries that measure the depth, at most
 MOST_CENTROIDS = 256
 GROUP = 4096  # entries a task holds, about
 VISITORS = 20_000  # queries a task holds, about
+VISITS = 500  # queries that a task walks the cells for, about
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
@@ -179,7 +180,9 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, recall: float = 0.95,
                         [pa.array(g, pa.int32()), pa.array(rep, pa.int64()), pa.array(vec, pa.list_(pa.float32())), pa.array(cells, pa.list_(pa.int32()))],
                         ["g", "rep", "vec", "cells"])
 
-    probes = stage(asked.mapInArrow(visit, "g int, rep long, vec array<float>, cells array<int>"), "probes")
+    # few and small rows with much to do each: dealt to tasks by their number, not their bytes
+    dealt = asked.repartition(max(1, -(-asked.count() // VISITS)), "rep")
+    probes = stage(dealt.mapInArrow(visit, "g int, rep long, vec array<float>, cells array<int>"), "probes")
     entries_of = index.withColumn("g", F.pmod("cell", F.lit(groups)))
     split = entries_of.groupBy("g").agg(F.ceil(F.count("*") / (2 * GROUP)).cast("int").alias("es")) \
         .join(probes.groupBy("g").agg(F.ceil(F.count("*") / VISITORS).cast("int").alias("qs")), "g")
