@@ -167,44 +167,54 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     got, n = np.unique(s, return_counts=True)
                     mine.append(got + (f << BITS))
                     share.append(n / max(int(sizes[0]), 1))
-                slots.append(np.concatenate(mine))
-                values.append(np.concatenate(share).astype(np.float32))
+                slots.append(np.concatenate(mine).astype("<u2").tobytes())
+                values.append(np.concatenate(share).astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("y"), batch.column("h"), pa.array(slots, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))],
-                ["y", "h", "slots", "values"])
+                [batch.column("y"), batch.column("h"), pa.array(slots, pa.binary()), pa.array(values, pa.binary())], ["y", "h", "slots", "values"])
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     # at most most_rows ids and labels: their number is bounded by the limits above
     rows = texts.join(F.broadcast(sample), "id").select("text", "y", "h") \
-        .mapInArrow(features, "y int, h long, slots array<int>, values array<float>").toArrow()
+        .mapInArrow(features, "y int, h long, slots binary, values binary").toArrow()
     return _fit(rows, rounds)
 
 
 def _fit(rows: pa.Table, rounds: int, scale: float = 30.0, decay: float = 1e-4) -> QualityModel:
-    rows = rows.sort_by("h")
     y = (rows.column("y").to_numpy() > 0).astype(float)
     if len(set(y)) < 2:
         return QualityModel()
-    slots, values = rows.column("slots").combine_chunks(), rows.column("values").combine_chunks()
-    if isinstance(slots, pa.ChunkedArray):
-        slots, values = pa.concat_arrays(slots.chunks), pa.concat_arrays(values.chunks)
-    idx, val = slots.flatten().to_numpy(), values.flatten().to_numpy().astype(float) * scale
-    sizes = np.diff(slots.offsets.to_numpy()).astype(np.int64)
-    row = np.repeat(np.arange(len(y)), sizes)
-    held = np.arange(len(y)) % 4 == 3
-    fit = ~held[row]
-    idx_f, val_f, row_f, learn = idx[fit], val[fit], row[fit], ~held
+    held = rows.column("h").to_numpy() % 4 == 3
+    # what the driver holds through all rounds: a slot and a share for each row and feature
+    idx = np.concatenate([np.frombuffer(x.as_buffer(), "<u2") for x in rows.column("slots")])
+    val = np.concatenate([np.frombuffer(x.as_buffer(), "<f4") for x in rows.column("values")])
+    sizes = np.array([len(x.as_buffer()) // 2 for x in rows.column("slots")], np.int64)
+    del rows
+    val *= np.float32(scale)
+    ends = np.cumsum(sizes)
+    blocks = [(i, min(i + 500, len(y))) for i in range(0, len(y), 500)]
+    learn = ~held  # held rows have no weight in the fit
     w, b = np.zeros(3 << BITS), 0.0
+
+    def scores() -> np.ndarray:
+        narrow, out = w.astype(np.float32), np.zeros(len(y))
+        for i, j in blocks:
+            at = slice(ends[i] - sizes[i], ends[j - 1])
+            row = np.repeat(np.arange(j - i), sizes[i:j])
+            out[i:j] = np.bincount(row, weights=narrow[idx[at]] * val[at], minlength=j - i)
+        return out + b
+
     m, v, step = np.zeros_like(w), np.zeros_like(w), 0.05
     weight = np.where(y > 0, 0.5 / max(y[learn].sum(), 1), 0.5 / max((1 - y[learn]).sum(), 1)) * learn
-    for i in range(1, rounds + 1):  # Adam on the whole sample
-        z = np.bincount(row_f, weights=w[idx_f] * val_f, minlength=len(y)) + b
-        err = (1 / (1 + np.exp(-z)) - y) * weight
-        g = np.bincount(idx_f, weights=val_f * err[row_f], minlength=len(w)) + decay * w
+    for n in range(1, rounds + 1):  # Adam on the whole sample
+        err = (1 / (1 + np.exp(-scores())) - y) * weight
+        g = decay * w
+        for i, j in blocks:
+            at = slice(ends[i] - sizes[i], ends[j - 1])
+            g += np.bincount(idx[at], weights=val[at] * np.repeat(err[i:j], sizes[i:j]), minlength=len(w))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= step * (m / (1 - 0.9 ** i)) / (np.sqrt(v / (1 - 0.999 ** i)) + 1e-8)
+        w -= step * (m / (1 - 0.9 ** n)) / (np.sqrt(v / (1 - 0.999 ** n)) + 1e-8)
         b -= step * float(err.sum())
-    z = np.bincount(row, weights=w[idx] * val, minlength=len(y)) + b
+    z = scores()
     use = held if len(set(y[held])) == 2 else np.ones(len(y), bool)
     a, c = 1.0, 0.0
     target = np.where(y[use] > 0, (y[use].sum() + 1) / (y[use].sum() + 2), 1 / ((1 - y[use]).sum() + 2))
