@@ -182,7 +182,8 @@ class Join:
 
     def shared_signatures(self, plans: dict[int, tuple[int, int, int]]) -> DataFrame:
         """(a, b) of classes that share a signature; (signature, a) where a crowd does."""
-        n, percent, buckets = self.n, self.percent, self.parts
+        # a partition's texts have more signatures than words to spare: several buckets for each, so that one fits a task
+        n, percent, buckets = self.n, self.percent, 4 * self.parts
 
         def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sigs, cids, size, seen = [], [], 0, set()
