@@ -1,3 +1,5 @@
+import random
+
 from .conftest import prose
 
 from wardflow.llm import language_id as L
@@ -67,3 +69,26 @@ def test_held_out_rule(spark):
     got = spark.range(200).withColumnRenamed("id", "doc_id").select("doc_id", L.held_out().alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
     assert spark.createDataFrame([(None,)], "doc_id long").select(L.held_out()).first()[0] is False
+
+
+def test_all_grams_count_in_tables_as_on_the_driver(make_docs, odd_texts, monkeypatch):
+    docs = corpus(make_docs, 60)
+    local = L.train(docs)
+    monkeypatch.setattr(L, "LOCAL_GRAMS", 40)  # so few that most 4-grams are joined
+    tables = L.train(docs)
+    assert isinstance(local, L.LanguageModel) and isinstance(tables, L.TableModel)
+    rows = [(i, t, None) for i, t in enumerate([*odd_texts, prose(7, 60), prose(7, 60), prose(8, 60, "de")])]
+    want = sorted(map(str, L.add_language(make_docs(rows), local).selectExpr("doc_id", "lang_pred", "round(score, 9)", "round(entropy, 9)", "accepted").collect()))
+    got = sorted(map(str, L.add_language(make_docs(rows), tables).selectExpr("doc_id", "lang_pred", "round(score, 9)", "round(entropy, 9)", "accepted").collect()))
+    assert got == want
+    kept = L.keep_accepted(make_docs(rows), tables)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in L.keep_accepted(make_docs(rows), local).collect())
+    assert kept.columns == make_docs(rows).columns
+
+
+def test_no_gram_is_dropped_whatever_their_number(make_docs):
+    rng = random.Random(5)
+    rows = [(i, "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(2500)), "zh") for i in range(90)]
+    model = L.train(make_docs(rows))
+    assert sum(len(m.keys) for m in model.models) > 150_000
+    assert (model.models[0].levels[-1][0].values[0] == 1).any()  # the rare ones are there, so discounts are estimated

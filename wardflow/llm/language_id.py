@@ -1,8 +1,12 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 One order-4 character model per language is counted over every training text
-(per-task n-gram counts, then one shuffle of distinct n-grams). Each model keeps
-its n-grams as sorted 64-bit hash arrays; a text goes to the language with the
+(per-task n-gram counts, then one shuffle of distinct n-grams), and all n-grams
+count, however rare. Up to ``LOCAL_GRAMS`` of them (and ``DENSE_CELLS`` probabilities)
+the models are broadcast as sorted 64-bit hash arrays. Beyond that counts, contexts and
+continuation counts stay tables (``TableModel``): only the most frequent 4-grams'
+probabilities are broadcast, and the others that texts have are joined to the tables
+by n-gram. Both give the same entropies. A text goes to the language with the
 lowest cross-entropy per character. Rejection is calibrated on training rows
 that were not counted: a text is rejected if its cross-entropy lies far above
 what texts of its length have in that language, or if it holds no letter.
@@ -30,6 +34,8 @@ from wardflow.llm.common import code_points, free_name, id_bucket, keep_where, m
 
 ORDER = 4
 SLICE = 1_000_000
+LOCAL_GRAMS = 600_000  # (language, 4-gram) pairs whose models fit on the driver: at most 300 bytes each
+DENSE_CELLS = 8_000_000  # log probabilities (8 bytes each) that are broadcast at most
 MARK = 1  # before a text
 SPACE = 32
 RESULT = "lang_pred string, score double, entropy double, accepted boolean"
@@ -94,6 +100,10 @@ class HashArray:
         return at, self.hashes[at] == h
 
 
+def discount_of(n1: int, n2: int) -> float:
+    return min(0.95, max(0.1, n1 / (n1 + 2 * n2))) if n1 else 0.5
+
+
 class KneserNey:
     """Interpolated Kneser-Ney model of one language from the counts of its 4-grams."""
 
@@ -103,8 +113,7 @@ class KneserNey:
         self.levels: list[tuple[HashArray, HashArray, float]] = []  # from order 1 up: n-grams, contexts, discount
         levels = []
         for order in range(ORDER, 0, -1):
-            n1, n2 = int((counts == 1).sum()), int((counts == 2).sum())
-            discount = min(0.95, max(0.1, n1 / (n1 + 2 * n2))) if n1 else 0.5
+            discount = discount_of(int((counts == 1).sum()), int((counts == 2).sum()))
             ctx, inv = np.unique(keys >> np.uint64(16), return_inverse=True)
             total = np.bincount(inv, weights=counts, minlength=len(ctx))
             types = np.bincount(inv, minlength=len(ctx)).astype(float)
@@ -173,7 +182,10 @@ class LanguageModel:
         size = len(texts)
         if not self.languages:
             return pd.DataFrame({"lang_pred": ["und"] * size, "score": 0.0, "entropy": np.nan, "accepted": False})
-        h, n, letters = self.entropies(texts)
+        return self.verdict(*self.entropies(texts))
+
+    def verdict(self, h: np.ndarray, n: np.ndarray, letters: np.ndarray) -> pd.DataFrame:
+        size = len(n)
         best = h.argmin(axis=1) if size else np.zeros(0, dtype=int)
         low = h[np.arange(size), best]
         score = 1.0 / np.exp(-(h - low[:, None]) * (self.scale * np.maximum(n, 1) ** self.power)[:, None]).sum(axis=1)
@@ -189,6 +201,121 @@ class LanguageModel:
         })
 
 
+def _low_col(gram, chars: int):
+    return gram.bitwiseAND(F.lit((1 << (16 * chars)) - 1)) if chars < ORDER else gram
+
+
+class TableModel:
+    """The models of ``counted`` (lang, gram, n) as tables of any size.
+
+    For each order: n-gram -> what its discounted count is by language, and context ->
+    (total, weight of the order below) by language, as maps from the language's number.
+    ``head`` holds the log probabilities of the most frequent 4-grams, by language;
+    what it lacks is joined. ``verdicts`` is its ``LanguageModel`` for calibration and results.
+    """
+
+    def __init__(self, counted: DataFrame, languages: list[str], alphabet: int):
+        self.languages, self.uniform = languages, 1.0 / max(alphabet, 1)
+        self.verdicts = LanguageModel(languages)
+        number = F.create_map(*[x for j, la in enumerate(languages) for x in (F.lit(la), F.lit(j))])
+        grams_of = counted.select(number[F.col("lang")].alias("j"), "gram", "n")
+        self.levels: list[tuple[DataFrame, DataFrame]] = []
+        for order in range(ORDER, 0, -1):
+            found = {r["j"]: (r["n1"], r["n2"]) for r in grams_of.groupBy("j").agg(
+                F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).collect()}  # a row a language
+            off = F.array(*[F.lit(discount_of(*found[j])) for j in range(len(languages))])[F.col("j")]
+            ngrams = grams_of.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct(
+                "j", F.greatest(F.col("n") - off, F.lit(0.0))))).alias("known"))  # at most one entry a language
+            contexts = grams_of.groupBy("j", F.shiftrightunsigned("gram", 16).alias("ctx")) \
+                .agg(F.sum("n").cast("double").alias("total"), F.count("*").alias("types")) \
+                .groupBy("ctx").agg(F.map_from_entries(F.collect_list(F.struct(
+                    "j", F.struct("total", (off * F.col("types") / F.col("total")).alias("weight"))))).alias("after"))
+            self.levels.insert(0, (stage(ngrams, f"language-ngrams-{order}"), stage(contexts, f"language-contexts-{order}")))
+            if order > 1:
+                grams_of = stage(grams_of.groupBy("j", _low_col(F.col("gram"), order - 1).alias("gram"))
+                                 .agg(F.count("*").alias("n")), f"language-continuations-{order - 1}")
+        top = counted.groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram") \
+            .limit(max(1, min(LOCAL_GRAMS, DENSE_CELLS) // len(languages))).select("gram")
+        rows = self.logs(top).toPandas()
+        self.head = HashArray(rows["gram"].to_numpy(copy=True).view(np.uint64), np.arange(len(rows)))
+        self.logp = np.stack(rows["logp"].to_numpy())
+
+    def logs(self, wanted: DataFrame) -> DataFrame:
+        """(gram, logp by language) of the distinct 4-grams in ``wanted``, known or not."""
+        below = None
+        for order, (ngrams, contexts) in enumerate(self.levels, 1):
+            need = wanted.select(_low_col(F.col("gram"), order).alias("gram")).distinct()
+            need = need.withColumn("ctx", F.shiftrightunsigned("gram", 16)).withColumn("low", _low_col(F.col("gram"), order - 1))
+            if below is None:
+                need = need.withColumn("p", F.array_repeat(F.lit(self.uniform), len(self.languages)))
+            else:  # each key has one row on the right and at most an alphabet of them on the left
+                need = need.join(below.withColumnRenamed("gram", "low"), "low")
+            rows = need.join(ngrams, "gram", "left").join(contexts, "ctx", "left")
+
+            def step(lower, j):
+                there = F.try_element_at(F.col("after"), j)
+                own = F.coalesce(F.try_element_at(F.col("known"), j), F.lit(0.0))
+                return F.when(there.isNull(), lower).otherwise(own / there["total"] + there["weight"] * lower)
+
+            below = rows.select("gram", F.transform("p", step).alias("p"))
+        return below.select("gram", F.transform("p", lambda p: F.log(p)).alias("logp"))
+
+    def entropies(self, texts: DataFrame) -> DataFrame:
+        """(key, h by language, n, letters) of each distinct ``text`` of ``texts`` that isn't null."""
+        k, shared = len(self.languages), texts.sparkSession.sparkContext.broadcast((self.head, self.logp))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            head, logp = shared.value
+            for batch in batches:
+                parts, keys = batch.column(1).to_pylist(), batch.column(0)
+                sums, n, letters = np.zeros((len(parts), k)), np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+                for group in text_slices(parts, SLICE):
+                    rows = np.array([r for r, _ in group])
+                    key, owner, let = grams([t for _, t in group])
+                    np.add.at(letters, rows, let)
+                    np.add.at(n, rows, np.bincount(owner, minlength=len(rows)))
+                    at, hit = head.find(key)
+                    place = head.values[0][at[hit]]
+                    for j in range(k):
+                        np.add.at(sums[:, j], rows, -np.bincount(owner[hit], weights=logp[place, j], minlength=len(rows)))
+                    rare, c = np.unique(np.stack([rows[owner[~hit]].astype(np.uint64), key[~hit]]), axis=1, return_counts=True)
+                    if len(c):
+                        yield pa.RecordBatch.from_arrays(
+                            [keys.take(pa.array(rare[0].astype(np.int64))), pa.array(rare[1].view(np.int64)), pa.array(c.astype(np.int64)),
+                             *[pa.nulls(len(c), t) for t in (pa.int64(), pa.int64(), pa.list_(pa.float64()))]], names)
+                if parts:
+                    yield pa.RecordBatch.from_arrays(
+                        [keys, pa.nulls(len(parts), pa.int64()), pa.array(np.ones(len(parts), np.int64)), pa.array(n), pa.array(letters),
+                         pa.array(list(sums), pa.list_(pa.float64()))], names)
+
+        names = ["key", "gram", "c", "n", "letters", "s"]
+        rows = texts.filter("text is not null").select(text_key("text").alias("key"), "text")
+        rows = stage(rows.mapInArrow(run, "key binary, gram long, c long, n long, letters long, s array<double>"), "language-lookups")
+        whole, rare = rows.filter("gram is null"), rows.filter("gram is not null").select("key", "gram", "c")
+        joined = rare.join(self.logs(rare), "gram").select(
+            "key", F.lit(0).cast("long").alias("copies"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("letters"),
+            F.transform("logp", lambda x: -x * F.col("c")).alias("s"))
+        every = whole.select("key", F.col("c").alias("copies"), "n", "letters", "s").unionByName(joined)
+        sums = every.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("copies", "n", "letters")],
+                                        *[F.sum(F.col("s")[j]).alias(f"s{j}") for j in range(k)])  # copies of a text add up alike
+        return sums.select("key", F.array(*[F.col(f"s{j}") / F.greatest(F.col("n"), F.lit(1)) for j in range(k)]).alias("h"),
+                           *[(F.col(c) / F.col("copies")).alias(c) for c in ("n", "letters")])
+
+    def results(self, docs: DataFrame, text_col: str) -> DataFrame:
+        """(key, result) of each distinct text of ``docs``."""
+        shared = docs.sparkSession.sparkContext.broadcast(self.verdicts)
+
+        @F.pandas_udf(RESULT)
+        def judge(h: pd.Series, n: pd.Series, letters: pd.Series) -> pd.DataFrame:
+            return shared.value.verdict(np.stack(h.to_numpy()) if len(h) else np.zeros((0, 1)), n.to_numpy(), letters.to_numpy())
+
+        return self.entropies(docs.select(F.col(text_col).alias("text"))).select("key", judge.asNondeterministic()("h", "n", "letters").alias("result"))
+
+
+def text_key(text):
+    return F.unhex(F.md5(F.col(text).cast("binary")))
+
+
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, 4-gram, count) of this task; counts of one language are merged as they come."""
     seen: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -219,14 +346,14 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          max_grams: int = 150_000, calibration_rows: int = 20_000, max_languages: int = 500) -> LanguageModel:
+          calibration_rows: int = 20_000, max_languages: int = 500) -> LanguageModel | TableModel:
     """Count, build and calibrate on the rows given; rows without a language are left out.
 
-    Three in four rows (by the id's hash) are counted, all of them; from the rest
-    about ``calibration_rows`` (a bound on the calibration sample) set the
-    posterior's temperature and the rejection limit. ``max_grams`` bounds each
-    model: the most frequent 4-grams of a language stay, so that what reaches the
-    driver and the executors is at most ``max_languages * max_grams`` entries.
+    Three in four rows (by the id's hash) are counted, all of them and all of their
+    4-grams; from the rest about ``calibration_rows`` (a bound on the calibration
+    sample) set the posterior's temperature and the rejection limit. Models of at most
+    ``LOCAL_GRAMS`` entries and ``DENSE_CELLS`` probabilities come to the driver; larger
+    ones stay tables, with the same results.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")) \
         .filter("lang is not null and text is not null")
@@ -234,41 +361,36 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     counted = rows.filter(part >= (1 << 18)).select("lang", "text") \
         .mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counted = stage(counted, "language-grams")
-    level = F.floor(F.log2("n") * 16).cast("int").alias("level")
-    by_level = counted.groupBy("lang", level).agg(F.count("*").alias("c")).collect()  # at most a few hundred a language
-    least: dict[str, int] = {}
-    for lang in sorted({r["lang"] for r in by_level}):
-        left = max_grams
-        for r in sorted((r for r in by_level if r["lang"] == lang), key=lambda r: -r["level"]):
-            left -= r["c"]
-            if left < 0 and lang in least:
-                break
-            least[lang] = r["level"]
-    if len(least) > max_languages:
-        raise ValueError(f"{len(least)} languages; max_languages is {max_languages}")
-    model = LanguageModel(sorted(least))
-    if not model.languages:
-        return model
-    floor = F.create_map(*[x for lang, lv in least.items() for x in (F.lit(lang), F.lit(lv))])
-    kept = counted.withColumn("level", level).filter(F.col("level") >= floor[F.col("lang")]).select("lang", "gram", "n").toPandas()
-    alphabet = len(np.unique(kept["gram"].to_numpy().view(np.uint64) & np.uint64(0xFFFF))) + 1
-    for lang in model.languages:
-        mine = kept[kept["lang"] == lang].sort_values("gram")
-        keys = mine["gram"].to_numpy(copy=True).view(np.uint64)
-        order = np.argsort(keys)
-        model.models.append(KneserNey(keys[order], mine["n"].to_numpy()[order], alphabet))
-    model.build()
+    sizes = {r["lang"]: r["c"] for r in counted.groupBy("lang").agg(F.count("*").alias("c")).limit(max_languages + 1).collect()}
+    if len(sizes) > max_languages:
+        raise ValueError(f"more than {max_languages} languages (max_languages)")
+    languages, total = sorted(sizes), sum(sizes.values())
+    if not languages:
+        return LanguageModel([])
+    if total > LOCAL_GRAMS or total * len(languages) > DENSE_CELLS:
+        alphabet = counted.select(_low_col(F.col("gram"), 1).alias("c")).distinct().count() + 1
+        model = TableModel(counted, languages, alphabet)
+    else:
+        model = LanguageModel(languages)
+        kept = counted.toPandas()
+        alphabet = len(np.unique(kept["gram"].to_numpy().view(np.uint64) & np.uint64(0xFFFF))) + 1
+        for lang in model.languages:
+            mine = kept[kept["lang"] == lang]
+            keys = mine["gram"].to_numpy(copy=True).view(np.uint64)
+            order = np.argsort(keys)
+            model.models.append(KneserNey(keys[order], mine["n"].to_numpy()[order], alphabet))
+        model.build()
     _calibrate(model, rows.filter(part < (1 << 18)).withColumn("part", part), calibration_rows)
     return model
 
 
-def _calibrate(model: LanguageModel, rows: DataFrame, sample: int) -> None:
-    """Fit temperature and rejection limit on a bounded random sample of rows that no model has counted."""
-    spark = rows.sparkSession
-    there = rows.select("id").count()
-    if not there:
-        return
-    shared, names = spark.sparkContext.broadcast(model), model.languages
+def _measured(model: LanguageModel | TableModel, rows: DataFrame) -> pd.DataFrame:
+    """(lang, n, h) of the rows (lang, text) with a letter."""
+    if isinstance(model, TableModel):
+        rows = stage(rows, "language-calibration")
+        measured = model.entropies(rows.select("text")).filter("letters > 0")
+        return rows.select("lang", text_key("text").alias("key")).join(measured, "key").select("lang", "n", "h").toPandas()
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,8 +399,18 @@ def _calibrate(model: LanguageModel, rows: DataFrame, sample: int) -> None:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(use)), pa.array(n[use]), pa.array(list(h[use]), pa.list_(pa.float64()))], ["lang", "n", "h"])
 
+    return rows.mapInArrow(measure, "lang string, n double, h array<double>").toPandas()
+
+
+def _calibrate(model: LanguageModel | TableModel, rows: DataFrame, sample: int) -> None:
+    """Fit temperature and rejection limit on a bounded random sample of rows that no model has counted."""
+    there = rows.select("id").count()
+    if not there:
+        return
     bound = int(min(1.0, sample / there) * (1 << 18))
-    got = rows.filter(F.col("part") < bound).select("lang", "text").mapInArrow(measure, "lang string, n double, h array<double>").toPandas()
+    got = _measured(model, rows.filter(F.col("part") < bound).select("lang", "text"))
+    names = model.languages
+    model = model.verdicts if isinstance(model, TableModel) else model
     got = got[got["lang"].isin(names)]
     if not len(got):
         return
@@ -322,16 +454,29 @@ def language_of(spark: SparkSession, model: LanguageModel, text):
     return predict.asNondeterministic()(text)
 
 
-def add_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+def _und():
+    return F.struct(F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("entropy"), F.lit(False).alias("accepted"))
+
+
+def add_language(docs: DataFrame, model: LanguageModel | TableModel, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score``, ``entropy`` and ``accepted``."""
     names = ("lang_pred", "score", "entropy", "accepted")
     own = free_name(docs, "language")
-    out = docs.withColumn(own, language_of(docs.sparkSession, model, F.col(text_col)))
+    if isinstance(model, TableModel):
+        key = free_name(docs, "text_key")
+        found = model.results(docs, text_col).select(F.col("key").alias(key), F.col("result").alias(own))
+        out = docs.withColumn(key, text_key(text_col)).join(found, key, "left").drop(key).withColumn(own, F.coalesce(own, _und()))
+    else:
+        out = docs.withColumn(own, language_of(docs.sparkSession, model, F.col(text_col)))
     return out.withColumns({c: F.col(f"{own}.{c}") for c in names}).drop(own)
 
 
-def keep_accepted(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+def keep_accepted(docs: DataFrame, model: LanguageModel | TableModel, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the model accepts, unchanged."""
+    if isinstance(model, TableModel):
+        key = free_name(docs, "text_key")
+        good = model.results(docs, text_col).filter("result.accepted").select(F.col("key").alias(key))
+        return docs.withColumn(key, text_key(text_col)).join(good, key, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
     return keep_where(docs, language_of(docs.sparkSession, model, F.col(text_col)), "accepted")
 
 
