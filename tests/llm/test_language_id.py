@@ -4,6 +4,9 @@ from .conftest import prose
 
 from wardflow.llm import language_id as L
 
+FOREIGN = ("nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita",
+           "alle mensen worden vrij en gelijk in waardigheid en rechten geboren zij zijn begiftigd met verstand")
+
 
 def corpus(make_docs, n=90):
     rows = [(i, prose(i, 40 + i % 50, v), v) for i in range(n) for v in [("en", "fr", "de")[i % 3]]]
@@ -92,3 +95,37 @@ def test_no_gram_is_dropped_whatever_their_number(make_docs):
     model = L.train(make_docs(rows))
     assert sum(len(m.keys) for m in model.models) > 150_000
     assert (model.models[0].levels[-1][0].values[0] == 1).any()  # the rare ones are there, so discounts are estimated
+
+
+def test_left_out_language_and_short_foreign_texts_are_rejected(make_docs):
+    docs = corpus(make_docs, 600)
+    foreign = [t[at:at + 60] for t in FOREIGN for at in (0, 30)]
+    for left in ("en", "fr", "de"):
+        model = L.train(docs.filter(f"lang <> '{left}'"))
+        right = [prose(5000 + i, 8 + i % 30, v) for i in range(100) for v in {"en", "fr", "de"} - {left}]
+        odd = [prose(5000 + i, 8 + i % 30, left) for i in range(100)]
+        assert model.predict(right)["accepted"].mean() >= 0.98  # stated: all but FALSE_REJECT, here from few rows
+        assert model.predict(odd)["accepted"].mean() <= 0.02
+        assert not model.predict(foreign)["accepted"].any()
+
+
+def test_given_documents_with_a_language_left_out(spark):
+    docs = L.table(spark, "/root/testdata/sf0.01", "documents").filter(~L.held_out() & (L.F.col("lang") != "en"))
+    model = L.train(docs)
+    held = L.table(spark, "/root/testdata/sf0.01", "documents").filter(L.held_out()).toPandas()
+    odd, right = held[held["lang"] == "en"], held[held["lang"] != "en"]
+    assert model.predict(list(odd["text"]))["accepted"].mean() <= 0.05  # 85 of 152 by the former limit
+    assert model.predict(list(right["text"]))["accepted"].mean() >= 0.98
+    assert not model.predict([t[at:at + 40] for t in FOREIGN for at in (0, 20, 40)])["accepted"].any()
+
+
+def test_limit_is_the_stated_order_statistic():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    n = 2.0 ** rng.uniform(4, 12, 40_000)
+    z = rng.normal(size=40_000) * np.where(n < 100, 3, 1)  # short texts vary more
+    limits, band = L._limits(z, n, 0.01), L._band(n)
+    for b in range(8):
+        assert 0.005 < (z[band == b] > limits[b]).mean() <= 0.01
+    assert limits[0] > 2 * limits[6]

@@ -8,8 +8,9 @@ continuation counts stay tables (``TableModel``): only the most frequent 4-grams
 probabilities are broadcast, and the others that texts have are joined to the tables
 by n-gram. Both give the same entropies. A text goes to the language with the
 lowest cross-entropy per character. Rejection is calibrated on training rows
-that were not counted: a text is rejected if its cross-entropy lies far above
-what texts of its length have in that language, or if it holds no letter.
+that were not counted, and on a beginning of each of them, as far as their best
+language is their label: a text is rejected if its cross-entropy lies above what all
+but ``FALSE_REJECT`` of such texts of its length have, or if it holds no letter.
 
 Defined results: a null text or one without letters gets ``und``, score 0 and
 ``accepted`` false; equal cross-entropies go to the alphabetically first
@@ -35,6 +36,8 @@ from wardflow.llm.common import code_points, free_name, id_bucket, keep_where, m
 ORDER = 4
 SLICE = 1_000_000
 LOCAL_GRAMS = 600_000  # (language, 4-gram) pairs whose models fit on the driver: at most 300 bytes each
+FALSE_REJECT = 0.001  # share of right texts of any length that the limit may reject
+SHORTEST = 16  # characters; bands of length double from here
 DENSE_CELLS = 8_000_000  # log probabilities (8 bytes each) that are broadcast at most
 MARK = 1  # before a text
 SPACE = 32
@@ -136,6 +139,31 @@ class KneserNey:
         return np.where(seen, (np.maximum(count - discount, 0) + discount * types * lower) / total, lower)
 
 
+def _band(n: np.ndarray) -> np.ndarray:
+    return np.clip(np.log2(np.maximum(n, 1) / SHORTEST), 0, 15).astype(int)
+
+
+def _limits(z: np.ndarray, n: np.ndarray, rate: float) -> np.ndarray:
+    """For each band the value that a further row exceeds with at most probability ``rate``.
+
+    That is an order statistic of the band's rows, with neighbouring bands' where it has too few
+    for the rate; if all together are too few, the tail is carried on as an exponential one.
+    """
+    band, out = _band(n), np.zeros(16)
+    for b in range(16):
+        for width in range(16):
+            mine = np.sort(z[abs(band - b) <= width])
+            at = int(np.ceil((len(mine) + 1) * (1 - rate)))
+            if at <= len(mine):
+                out[b] = mine[at - 1]
+                break
+        else:
+            share = min(0.5, max(0.1, 20 / len(z)))
+            start = np.quantile(z, 1 - share)
+            out[b] = max(z.max(), start + (z[z >= start] - start).mean() * np.log(share / rate))
+    return out
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]
@@ -146,7 +174,7 @@ class LanguageModel:
     scale: float = 1.0
     mean: np.ndarray | None = None
     spread: np.ndarray | None = None  # a, b of the variance a + b / n by language
-    limit: float = np.inf
+    limits: np.ndarray | None = None  # by band of length, in standard deviations
 
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Cross-entropy per character by text and language; characters; letters."""
@@ -192,7 +220,7 @@ class LanguageModel:
         ok = letters > 0
         if self.mean is not None:
             sd = np.sqrt(self.spread[best, 0] + self.spread[best, 1] / np.maximum(n, 1))
-            ok = ok & (low <= self.mean[best] + self.limit * sd)
+            ok = ok & (low <= self.mean[best] + self.limits[_band(n)] * sd)
         return pd.DataFrame({
             "lang_pred": np.where(letters > 0, np.array(self.languages, dtype=object)[best], "und"),
             "score": np.where(letters > 0, score, 0.0),
@@ -385,21 +413,31 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def _measured(model: LanguageModel | TableModel, rows: DataFrame) -> pd.DataFrame:
-    """(lang, n, h) of the rows (lang, text) with a letter."""
+    """(lang, whole, n, h) of the rows (lang, whole, text) with a letter."""
     if isinstance(model, TableModel):
         rows = stage(rows, "language-calibration")
         measured = model.entropies(rows.select("text")).filter("letters > 0")
-        return rows.select("lang", text_key("text").alias("key")).join(measured, "key").select("lang", "n", "h").toPandas()
+        return rows.select("lang", "whole", text_key("text").alias("key")).join(measured, "key").select("lang", "whole", "n", "h").toPandas()
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, n, letters = shared.value.entropies(batch.column(1).to_pylist())
+            h, n, letters = shared.value.entropies(batch.column("text").to_pylist())
             use = np.flatnonzero(letters > 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(use)), pa.array(n[use]), pa.array(list(h[use]), pa.list_(pa.float64()))], ["lang", "n", "h"])
+                [*[batch.column(c).take(pa.array(use)) for c in ("lang", "whole")], pa.array(n[use]), pa.array(list(h[use]), pa.list_(pa.float64()))],
+                ["lang", "whole", "n", "h"])
+
+    return rows.mapInArrow(measure, "lang string, whole boolean, n double, h array<double>").toPandas()
 
-    return rows.mapInArrow(measure, "lang string, n double, h array<double>").toPandas()
+
+def _with_beginnings(rows: DataFrame) -> DataFrame:
+    """(lang, whole, text): each text, and its first 16, 32, 64 ... characters, one of these by the text's hash."""
+    bands = F.floor(F.log2(F.length("text") / F.lit(SHORTEST))).cast("int")
+    size = F.lit(SHORTEST) * F.pow(F.lit(2), F.pmod(F.xxhash64("text"), F.greatest(bands, F.lit(1))))
+    part = F.when(F.length("text") > SHORTEST, F.substring(F.col("text"), F.lit(1), size.cast("int")))
+    each = F.explode(F.array(F.struct(F.lit(True).alias("whole"), "text"), F.struct(F.lit(False).alias("whole"), part.alias("text"))))
+    return rows.select("lang", each.alias("x")).select("lang", "x.whole", "x.text").filter("text is not null")
 
 
 def _calibrate(model: LanguageModel | TableModel, rows: DataFrame, sample: int) -> None:
@@ -408,7 +446,7 @@ def _calibrate(model: LanguageModel | TableModel, rows: DataFrame, sample: int)
     if not there:
         return
     bound = int(min(1.0, sample / there) * (1 << 18))
-    got = _measured(model, rows.filter(F.col("part") < bound).select("lang", "text"))
+    got = _measured(model, _with_beginnings(rows.filter(F.col("part") < bound).select("lang", "text")))
     names = model.languages
     model = model.verdicts if isinstance(model, TableModel) else model
     got = got[got["lang"].isin(names)]
@@ -416,29 +454,32 @@ def _calibrate(model: LanguageModel | TableModel, rows: DataFrame, sample: int)
         return
     h, n = np.stack(got["h"].to_numpy()), got["n"].to_numpy()
     true = np.array([names.index(x) for x in got["lang"]])
+    whole = got["whole"].to_numpy(bool)
     best = None
     for power in (0.25, 0.5, 1.0):
         for scale in 2.0 ** np.arange(-4, 6):
-            z = -h * (scale * n ** power)[:, None]
+            z = (-h * (scale * n ** power)[:, None])[whole]
             z -= z.max(axis=1, keepdims=True)
-            loss = float(np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(z)), true]))
+            loss = float(np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(z)), true[whole]]))
             if best is None or loss < best[0]:
                 best = (loss, power, scale)
     model.power, model.scale = best[1], best[2]
-    k = len(names)
-    own = h[np.arange(len(h)), true]
+    k, right = len(names), h.argmin(axis=1) == true  # mislabelled texts set no limit
+    if not right.any():
+        return
+    n, true = n[right], true[right]
+    own = h[right, true]
     model.mean = np.array([own[true == j].mean() if (true == j).any() else own.mean() for j in range(k)])
     model.spread = np.zeros((k, 2))
-    z = np.zeros(len(own))
+    off = own - model.mean[true]
     for j in range(k):
         mine = true == j if (true == j).sum() >= 30 else np.ones(len(true), dtype=bool)
-        sq = (own[mine] - model.mean[j]) ** 2
         a = np.stack([np.ones(mine.sum()), 1 / n[mine]], axis=1)
         w = 1 / (1 + 1000 / n[mine])  # short texts vary more
-        fit = np.linalg.lstsq(a * w[:, None], sq * w, rcond=None)[0]
+        fit = np.linalg.lstsq(a * w[:, None], off[mine] ** 2 * w, rcond=None)[0]
         model.spread[j] = np.maximum(fit, [1e-4, 1e-2])
-        z[true == j] = ((own - model.mean[j]) / np.sqrt(model.spread[j, 0] + model.spread[j, 1] / n))[true == j]
-    model.limit = max(12.0, 2.0 * float(np.quantile(z, 0.999)))  # far out: mixed and odd texts stay
+    z = off / np.sqrt(model.spread[true, 0] + model.spread[true, 1] / n)
+    model.limits = _limits(z, n, FALSE_REJECT)
 
 
 def language_of(spark: SparkSession, model: LanguageModel, text):
