@@ -65,3 +65,33 @@ def test_frame(spark):
     assert [(r["text"], r["n_chars"]) for r in got if r["page_id"] == 1] == [(WANT, len(WANT))] * 2
     assert all((r["text"], r["n_chars"]) == ("", 0) for r in got if r["page_id"] != 1)
     assert H.extract(pages.filter("false")).count() == 0
+
+
+def paragraphs(n, word):
+    return [f"Paragraph {i} of {word} has enough words in it to be taken for the text of a page, and then some more words." for i in range(n)]
+
+
+def test_title_and_lead_outside_the_body():
+    lead, text = "A lead of a hundred and fifty characters that says in two lines what the article is about, and for whom it was written, when, and by which of the authors.", paragraphs(20, "body")
+    want = "\n".join(["Title", lead, *text])
+    inner = "".join(f"<p>{p}</p>" for p in text)
+    page = AROUND % f"<div id=main><h1>Title</h1><p>{lead}</p><div class=body>{inner}</div></div>"
+    assert H.main_text(page) == want
+    assert H.main_text(AROUND % f"<div id=main><h1>Title</h1><div class=body>{inner}</div></div>") == "\n".join(["Title", *text])
+    far = "<ul>" + "".join(f"<li>{x}</li>" for x in "abcdefgh") + "</ul>"  # the title's smoothed ratio is low
+    assert H.main_text(AROUND % f"<div id=main><h1>T</h1><nav>{far}</nav><div class=body>{inner}</div></div>") == "\n".join(["T", *text])
+
+
+def test_short_parts_beside_long_ones():
+    long, short = paragraphs(30, "long"), paragraphs(2, "short")
+    a, b = ("".join(f"<p>{p}</p>" for p in x) for x in (long, short))
+    for tag in ("section", "article", "div"):
+        assert H.main_text(AROUND % f"<div><{tag}>{a}</{tag}><{tag}>{b}</{tag}></div>") == "\n".join(long + short)
+        assert H.main_text(AROUND % f"<{tag}>{b}</{tag}><{tag}>{a}</{tag}>") == "\n".join(short + long)
+    assert H.main_text(AROUND % f"<table><tr><td>{a}</td><td>{b}</td></tr></table>") == "\n".join(long + short)
+
+
+def test_tiny_parts_beside_long_ones():
+    a = "".join(f"<p>{p}</p>" for p in paragraphs(30, "long"))
+    for tag in ("section", "article"):
+        assert H.main_text(AROUND % f"<{tag}>{a}</{tag}><{tag}><ul><li>x<li>y<li>z</ul></{tag}>") == "\n".join([*paragraphs(30, "long"), "x", "y", "z"])

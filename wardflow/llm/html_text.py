@@ -9,9 +9,9 @@ advert, comments ...). Then, by page:
 1. a line's ratio is its characters by its tags (0 in a part without content);
 2. a Gaussian kernel smooths the ratios along the page;
 3. lines above a threshold, a share of the ratios' standard deviation, are the core;
-4. the region is the smallest container that holds nearly all of the core's text, or
-   the article around it; all its lines that lie in no part without content are the
-   text, so short paragraphs between long ones stay.
+4. the region is the smallest container that holds the whole core, or the article around
+   it, with the articles or sections beside it if it is one; all its lines that lie in no part without content are the text, so short paragraphs
+   between long ones stay, and so do headings right before it if it has no h1 of its own.
 
 Defined results: null, empty and text-free pages give the empty text; repeated rows
 give equal results; broken or cut markup is read as far as it goes; the whole page
@@ -34,7 +34,6 @@ from wardflow.llm.common import table
 FEED = 1 << 16  # characters given to the parser at once
 SIGMA, RADIUS = 1.0, 2  # of the kernel, in lines
 THRESHOLD = 0.5  # standard deviations of the smoothed ratios
-NEARLY_ALL = 0.9  # of the core's text
 
 # Fixed sets of HTML element names
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -43,6 +42,7 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 CONTAINER = frozenset("article body center div html main section table td".split())
 NO_CONTENT = frozenset("aside button datalist dialog footer form head iframe menu nav noscript object script search select style svg template "
                        "textarea title".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CELL = frozenset("td th br".split())
 NO_CONTENT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 # Words in class names and ids of parts that are no content
@@ -68,12 +68,12 @@ def _no_content(tag: str, attrs: list[tuple[str, str | None]], inside_article: b
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, chain of open containers, without content) of each line of a page."""
+    """Collects (text, tags, chain of open containers, without content, heading around it or "") of each line of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int]] = []  # name, without content (or inside such), number
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...], bool, str]] = []
         self.names: list[str] = []
         self.parts: list[str] = []
         self.tags = 0
@@ -83,7 +83,8 @@ class Lines(HTMLParser):
             text = " ".join("".join(self.parts).split())
             if text:
                 chain = tuple(n for name, _, n in self.stack if name in CONTAINER)
-                self.lines.append((text, self.tags, chain, bool(self.stack and self.stack[-1][1])))
+                heading = next((name for name, _, _ in self.stack if name in HEADINGS), "")
+                self.lines.append((text, self.tags, chain, bool(self.stack and self.stack[-1][1]), heading))
             self.parts = []
             self.tags = 0
 
@@ -164,18 +165,24 @@ def main_text(html: str | None) -> str:
     core = ~bad & (smooth >= THRESHOLD * smooth.std())
     if not core.any():
         core = ~bad
-    weight: dict[int, float] = {}
-    for i in np.flatnonzero(core):
-        for c in page.lines[i][2]:
-            weight[c] = weight.get(c, 0.0) + size[i]
-    need = NEARLY_ALL * size[core].sum()
-    held = [c for c, w in weight.items() if w >= need]
-    region = max(held, default=None)  # containers are numbered as they open: the last is the innermost
+    chains = [page.lines[i][2] for i in np.flatnonzero(core)]
+    region = max(set(chains[0]).intersection(*chains), default=None)  # containers are numbered as they open: the last is the innermost
     if region is not None:
-        chain = next(x[2] for x in page.lines if region in x[2])
+        chain = chains[0]
         around = [c for c in chain[:chain.index(region) + 1] if page.names[c] in ("article", "main")]
         region = around[0] if around else region
-    return "\n".join(text for text, _, chain, no in page.lines if not no and (region is None or region in chain))
+    inside = {region}
+    if region is not None and page.names[region] in ("article", "section"):  # its siblings of that kind belong to it
+        depth = chain.index(region)
+        inside.update(x[2][depth] for x in page.lines if x[2][:depth] == chain[:depth] and len(x[2]) > depth
+                      and page.names[x[2][depth]] == page.names[region])
+    keep = [not x[3] and (region is None or not inside.isdisjoint(x[2])) for x in page.lines]
+    if not any(k and x[4] == "h1" for k, x in zip(keep, page.lines, strict=True)):
+        for i in range(keep.index(True) - 1, -1, -1):
+            if not bad[i] and not page.lines[i][4]:
+                break
+            keep[i] = not bad[i]
+    return "\n".join(x[0] for k, x in zip(keep, page.lines, strict=True) if k)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
