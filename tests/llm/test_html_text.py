@@ -95,3 +95,32 @@ def test_tiny_parts_beside_long_ones():
     a = "".join(f"<p>{p}</p>" for p in paragraphs(30, "long"))
     for tag in ("section", "article"):
         assert H.main_text(AROUND % f"<{tag}>{a}</{tag}><{tag}><ul><li>x<li>y<li>z</ul></{tag}>") == "\n".join([*paragraphs(30, "long"), "x", "y", "z"])
+
+
+def test_words_of_names_alone_drop_nothing():
+    text = paragraphs(6, "the study")
+    a = "".join(f"<p>{p}</p>" for p in text)
+    parts = [('<section id="discussion"><h2>Discussion</h2>', "</section>", "Discussion"), ('<section id="comments"><h2>Comments</h2>', "</section>", "Comments"),
+             ('<h2 id="related-work">Related work</h2>', "", "Related work"), ('<p class="notice">Take notice of this.</p>', "", "Take notice of this."),
+             ('<div class="widget response">', "</div>", ""), ('<div id="skip-navigation-menu">', "</div>", "")]
+    for tag in ("article", "main", "div"):
+        for start, end, head in parts:
+            want = "\n".join(["Title", *text, *([head] if head else []), *text])
+            assert H.main_text(AROUND % f"<{tag}><h1>Title</h1>{a}{start}{a}{end}</{tag}>") == want, (tag, start)
+    assert H.main_text(f'<div class="social widget">{a}</div>') == "\n".join(text)
+
+
+def test_words_with_links_or_a_low_ratio_drop_the_part():
+    text = paragraphs(6, "the study")
+    a = "".join(f"<p>{p}</p>" for p in text)
+    links = '<div class="related"><p><a href="/x">Another long story about something else, with a title that is as long as any paragraph of this page is, or longer.</a></p></div>'
+    share = '<ul class="share"><li>Post</li><li>Mail</li><li>Print</li></ul>'
+    for tag in ("article", "main", "div"):
+        assert H.main_text(AROUND % f"<{tag}>{a}{links}{share}{a}</{tag}>") == "\n".join(text + text)
+
+
+def test_words_of_names_in_a_page_without_wrapper():
+    a = "".join(f"<p>{p}</p>" for p in paragraphs(6, "the study"))
+    page = f'<html><body><h1>Title</h1>{a}<h2 id="related-work">Related work</h2>{a}<p class="notice">Take notice.</p>%s</body></html>'
+    want = "\n".join(["Title", *paragraphs(6, "the study"), "Related work", *paragraphs(6, "the study"), "Take notice."])
+    assert H.main_text(page % "") == H.main_text(page % '<div id="comments"><p>A comment by a reader in some words.</p></div>') == want

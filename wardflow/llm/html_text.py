@@ -3,15 +3,20 @@
 The standard library's parser streams its events over a page in pieces. Block
 elements cut the page into lines; each has its text, its tags, the chain of block
 elements around it, and whether it lies in a part that is no content by its
-meaning (navigation, page header and footer, sidebar, form, script, notice,
-advert, comments ...). Then, by page:
+meaning (navigation, page header and footer, sidebar, form, script ...). A part whose
+class or id has a word of such parts (advert, comments, notice, related ...) is only
+suspected: outside an article it is no core and, where the region is the whole body, no
+text; inside the article or region it goes only if many of its characters are links or
+its text-to-tag ratio is low. For a paragraph or heading only links tell, and a section
+named by one word that begins with a heading isn't suspected. Then, by page:
 
 1. a line's ratio is its characters by its tags (0 in a part without content);
 2. a Gaussian kernel smooths the ratios along the page;
 3. lines above a threshold, a share of the ratios' standard deviation, are the core;
 4. the region is the smallest container that holds the whole core, or the article around
-   it, with the articles or sections beside it if it is one; all its lines that lie in no part without content are the text, so short paragraphs
-   between long ones stay, and so do headings right before it if it has no h1 of its own.
+   it, with the articles or sections beside it if it is one; all its lines that lie in no
+   part without content are the text, so short paragraphs between long ones stay, and so
+   do headings right before it if it has no h1 of its own.
 
 Defined results: null, empty and text-free pages give the empty text; repeated rows
 give equal results; broken or cut markup is read as far as it goes; the whole page
@@ -23,6 +28,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -43,9 +49,12 @@ CONTAINER = frozenset("article body center div html main section table td".split
 NO_CONTENT = frozenset("aside button datalist dialog footer form head iframe menu nav noscript object script search select style svg template "
                        "textarea title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+SHORT = HEADINGS | {"p"}  # short by nature: their ratio tells nothing
 CELL = frozenset("td th br".split())
 NO_CONTENT_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-# Words in class names and ids of parts that are no content
+LINKED = 1 / 3  # share of characters in links from which a suspected part goes
+LOW = 0.6  # share of the page's usual ratio below which a suspected part goes
+# Words in class names and ids of parts that may be no content
 NO_CONTENT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
                              "disqus discussion footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pager pagination "
                              "popup promo promoted promotion recommended related replies reply respond responses share sharing sidebar signup skip "
@@ -60,23 +69,46 @@ def _no_content(tag: str, attrs: list[tuple[str, str | None]], inside_article: b
             return True
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
+    return False
+
+
+def _suspected(tag: str, attrs: list[tuple[str, str | None]]) -> str:
+    """Whether a class or id has a word of parts without content: "" no, "name" only as a section's one-word id, "yes"."""
+    found = ""
+    for name, value in attrs:
         if name in ("class", "id") and value and tag not in ("html", "body", "article", "main"):
             spaced = re.sub(r"([a-z])([A-Z])", r"\1 \2", value)
-            if not NO_CONTENT_WORDS.isdisjoint(re.split(r"[^a-z]+", spaced.lower())):
-                return True
-    return False
+            words = re.split(r"[^a-z]+", spaced.lower())
+            if not NO_CONTENT_WORDS.isdisjoint(words):
+                if name == "class" or tag != "section" or len(words) > 1:
+                    return "yes"
+                found = "name"
+    return found
+
+
+class Line(NamedTuple):
+    text: str
+    tags: int
+    chain: tuple[int, ...]  # open containers
+    bad: bool  # in a part without content
+    heading: str  # around it, or ""
+    suspects: tuple[int, ...]  # suspected parts around it
+    linked: int  # characters in links
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, chain of open containers, without content, heading around it or "") of each line of a page."""
+    """Collects the lines of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int]] = []  # name, without content (or inside such), number
-        self.lines: list[tuple[str, int, tuple[int, ...], bool, str]] = []
+        self.lines: list[Line] = []
         self.names: list[str] = []
+        self.suspects: dict[int, str] = {}  # number of a suspected part: how
         self.parts: list[str] = []
         self.tags = 0
+        self.link = False
+        self.linked = 0
 
     def cut(self) -> None:
         if self.parts:
@@ -84,9 +116,10 @@ class Lines(HTMLParser):
             if text:
                 chain = tuple(n for name, _, n in self.stack if name in CONTAINER)
                 heading = next((name for name, _, _ in self.stack if name in HEADINGS), "")
-                self.lines.append((text, self.tags, chain, bool(self.stack and self.stack[-1][1]), heading))
+                suspects = tuple(n for _, _, n in self.stack if n in self.suspects) if self.suspects else ()
+                self.lines.append(Line(text, self.tags, chain, bool(self.stack and self.stack[-1][1]), heading, suspects, self.linked))
             self.parts = []
-            self.tags = 0
+            self.tags = self.linked = 0
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -98,7 +131,8 @@ class Lines(HTMLParser):
             return
         inside = any(name == "article" for name, _, _ in self.stack)
         bad = _no_content(tag, attrs, inside)
-        if tag in BLOCK or bad:
+        suspect = _suspected(tag, attrs) if attrs and not bad else ""
+        if tag in BLOCK or bad or suspect:
             self.cut()
             if tag in BLOCK:  # a block closes an open paragraph, and an item its sibling
                 self._close("p")
@@ -106,9 +140,13 @@ class Lines(HTMLParser):
                     self._close(tag, stop=("ul", "ol", "dl", "menu", "table"))
         elif tag in CELL:
             self.parts.append(" ")
-        if tag in BLOCK or tag in CONTAINER or bad:
+        if tag == "a":
+            self.link = True
+        if tag in BLOCK or tag in CONTAINER or bad or suspect:
             self.names.append(tag)
             self.stack.append((tag, bad or bool(self.stack and self.stack[-1][1]), len(self.names) - 1))
+            if suspect:
+                self.suspects[len(self.names) - 1] = suspect
             if tag in BLOCK:
                 self.tags = 1
 
@@ -130,6 +168,8 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
+        if tag == "a":
+            self.link = False
         if tag in BLOCK or any(name == tag for name, _, _ in self.stack):
             self.cut()
             self._close(tag)
@@ -138,6 +178,8 @@ class Lines(HTMLParser):
 
     def handle_data(self, data):
         self.parts.append(data)
+        if self.link:
+            self.linked += len(" ".join(data.split()))
 
 
 def lines_of(html: str) -> Lines:
@@ -149,23 +191,57 @@ def lines_of(html: str) -> Lines:
     return page
 
 
+def _by_name(page: Lines, part: int, first: Line) -> bool:
+    """Whether the part is a section that is suspected by its one-word id only, and begins with a heading."""
+    return page.suspects[part] == "name" and bool(first.heading)
+
+
+def _without(page: Lines, bad: np.ndarray, size: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    """Which lines lie in a suspected part that its links or its ratio show to be no content."""
+    inside: dict[int, list[int]] = {}
+    for i, line in enumerate(page.lines):
+        for part in line.suspects if not bad[i] else ():
+            inside.setdefault(part, []).append(i)
+    out = np.zeros(len(bad), dtype=bool)
+    clean = ~bad & np.array([not x.suspects for x in page.lines])
+    usual = float((size[clean] ** 2 / tags[clean]).sum() / size[clean].sum()) if clean.any() else 0.0  # of a character's line
+    for part, mine in inside.items():
+        if _by_name(page, part, page.lines[mine[0]]):
+            continue
+        chars = size[mine].sum()
+        low = size[mine].sum() / tags[mine].sum() < LOW * usual
+        if page.names[part] in SHORT:
+            low = False
+        if low or sum(page.lines[i].linked for i in mine) >= LINKED * chars:
+            out[mine] = True
+    return out
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = lines_of(html)
     if not page.lines:
         return ""
-    size = np.array([len(text) for text, *_ in page.lines], float)
-    bad = np.array([x[3] for x in page.lines])
+    size = np.array([len(x.text) for x in page.lines], float)
+    tags = np.maximum(1, [x.tags for x in page.lines])
+    bad = np.array([x.bad for x in page.lines])
+    apart = np.zeros(len(bad), dtype=bool)  # suspected, and in no article: no core, but text if the region holds them
+    if page.suspects:
+        bad = bad | _without(page, bad, size, tags)
+        articles = {c for c, name in enumerate(page.names) if name in ("article", "main")}
+        apart = ~bad & np.array([bool(x.suspects) and articles.isdisjoint(x.chain) for x in page.lines])
+        if (bad | apart).all():
+            apart[:] = False
     if bad.all():
         return ""
-    ratio = np.where(bad, 0.0, size / np.maximum(1, [x[1] for x in page.lines]))
+    ratio = np.where(bad | apart, 0.0, size / tags)
     kernel = np.exp(-0.5 * (np.arange(-RADIUS, RADIUS + 1) / SIGMA) ** 2)
     smooth = np.convolve(np.pad(ratio, RADIUS, mode="edge"), kernel / kernel.sum(), mode="valid")
-    core = ~bad & (smooth >= THRESHOLD * smooth.std())
+    core = ~bad & ~apart & (smooth >= THRESHOLD * smooth.std())
     if not core.any():
-        core = ~bad
-    chains = [page.lines[i][2] for i in np.flatnonzero(core)]
+        core = ~bad & ~apart
+    chains = [page.lines[i].chain for i in np.flatnonzero(core)]
     region = max(set(chains[0]).intersection(*chains), default=None)  # containers are numbered as they open: the last is the innermost
     if region is not None:
         chain = chains[0]
@@ -174,15 +250,22 @@ def main_text(html: str | None) -> str:
     inside = {region}
     if region is not None and page.names[region] in ("article", "section"):  # its siblings of that kind belong to it
         depth = chain.index(region)
-        inside.update(x[2][depth] for x in page.lines if x[2][:depth] == chain[:depth] and len(x[2]) > depth
-                      and page.names[x[2][depth]] == page.names[region])
-    keep = [not x[3] and (region is None or not inside.isdisjoint(x[2])) for x in page.lines]
-    if not any(k and x[4] == "h1" for k, x in zip(keep, page.lines, strict=True)):
+        inside.update(x.chain[depth] for x, no in zip(page.lines, apart, strict=True) if not no and x.chain[:depth] == chain[:depth]
+                      and len(x.chain) > depth and page.names[x.chain[depth]] == page.names[region])
+    if region is None or page.names[region] in ("body", "html"):  # the whole page is no choice of a region: suspected parts go
+        first: dict[int, Line] = {}
+        for x in page.lines:
+            for part in x.suspects:
+                first.setdefault(part, x)
+        bad = bad | apart & np.array([not all(page.names[part] in SHORT or _by_name(page, part, first[part]) for part in x.suspects)
+                                      for x in page.lines])
+    keep = [not no and (region is None or not inside.isdisjoint(x.chain)) for x, no in zip(page.lines, bad, strict=True)]
+    if not any(k and x.heading == "h1" for k, x in zip(keep, page.lines, strict=True)):
         for i in range(keep.index(True) - 1, -1, -1):
-            if not bad[i] and not page.lines[i][4]:
+            if not (bad[i] or apart[i] or page.lines[i].heading):
                 break
-            keep[i] = not bad[i]
-    return "\n".join(x[0] for k, x in zip(keep, page.lines, strict=True) if k)
+            keep[i] = not bad[i] and not apart[i]
+    return "\n".join(x.text for k, x in zip(keep, page.lines, strict=True) if k)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
