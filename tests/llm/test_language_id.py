@@ -129,3 +129,19 @@ def test_limit_is_the_stated_order_statistic():
     for b in range(8):
         assert 0.005 < (z[band == b] > limits[b]).mean() <= 0.01
     assert limits[0] > 2 * limits[6]
+
+
+def test_every_language_and_every_row_beyond_the_sample_is_counted(make_docs):
+    rows = [(i, prose(i, 40, v), v) for i in range(200) for v in [("en", "fr")[i % 2]]]
+    lone = [(1000 + i, prose(i, 40, "de"), f"x{i:02}") for i in range(24)]  # a quarter of them would be held back
+    model = L.train(make_docs(rows + lone + [(None, prose(7, 40, "de"), "nul"), (None, prose(8, 40, "de"), "nul")]))
+    assert model.languages == sorted(["en", "fr", "nul", *[r[2] for r in lone]])
+    many = L.train(make_docs(rows), calibration_rows=10)
+    total = sum(m.levels[-1][0].values[0].sum() for m in many.models)
+    every = len(L.grams([t for _, t, _ in rows])[0])
+    assert total > 0.85 * every  # three in four were counted before, however small the sample
+
+
+def test_rows_that_are_not_counted_are_few_and_limits_are_there(make_docs):
+    model = L.train(corpus(make_docs, 300), calibration_rows=60)
+    assert model.limits is not None and model.mean is not None

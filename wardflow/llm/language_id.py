@@ -377,24 +377,27 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           calibration_rows: int = 20_000, max_languages: int = 500) -> LanguageModel | TableModel:
     """Count, build and calibrate on the rows given; rows without a language are left out.
 
-    Three in four rows (by the id's hash) are counted, all of them and all of their
-    4-grams; from the rest about ``calibration_rows`` (a bound on the calibration
-    sample) set the posterior's temperature and the rejection limit. Models of at most
+    About ``calibration_rows`` rows (by the id's hash, of a null id the text's; at most one in
+    four) set the posterior's temperature and the rejection limit; all others are counted,
+    with all their 4-grams, and so are all rows of a language that would have none counted. Models of at most
     ``LOCAL_GRAMS`` entries and ``DENSE_CELLS`` probabilities come to the driver; larger
     ones stay tables, with the same results.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")) \
         .filter("lang is not null and text is not null")
-    part = F.pmod(F.xxhash64(F.col("id"), F.lit("calibrate")), F.lit(1 << 20))
-    counted = rows.filter(part >= (1 << 18)).select("lang", "text") \
-        .mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counted = stage(counted, "language-grams")
-    sizes = {r["lang"]: r["c"] for r in counted.groupBy("lang").agg(F.count("*").alias("c")).limit(max_languages + 1).collect()}
-    if len(sizes) > max_languages:
+    part = F.pmod(F.xxhash64(F.col("id"), F.when(F.col("id").isNull(), F.col("text")), F.lit("calibrate")), F.lit(1 << 20))
+    found = rows.groupBy("lang").agg(F.count("*").alias("c"), F.max(F.when(F.col("text").rlike(r"\p{L}"), part)).alias("last")) \
+        .limit(max_languages + 1).collect()
+    if len(found) > max_languages:
         raise ValueError(f"more than {max_languages} languages (max_languages)")
-    languages, total = sorted(sizes), sum(sizes.values())
-    if not languages:
+    if not found:
         return LanguageModel([])
+    bound = int(min(0.25, calibration_rows / sum(r["c"] for r in found)) * (1 << 20))
+    aside = (part < bound) & ~F.col("lang").isin([r["lang"] for r in found if (r["last"] or 0) < bound])
+    counted = rows.filter(~aside).select("lang", "text") \
+        .mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = stage(counted, "language-grams")
+    languages, total = sorted(r["lang"] for r in found), counted.count()
     if total > LOCAL_GRAMS or total * len(languages) > DENSE_CELLS:
         alphabet = counted.select(_low_col(F.col("gram"), 1).alias("c")).distinct().count() + 1
         model = TableModel(counted, languages, alphabet)
@@ -408,7 +411,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             order = np.argsort(keys)
             model.models.append(KneserNey(keys[order], mine["n"].to_numpy()[order], alphabet))
         model.build()
-    _calibrate(model, rows.filter(part < (1 << 18)).withColumn("part", part), calibration_rows)
+    _calibrate(model, rows.filter(aside).select("lang", "text"))
     return model
 
 
@@ -440,16 +443,11 @@ def _with_beginnings(rows: DataFrame) -> DataFrame:
     return rows.select("lang", each.alias("x")).select("lang", "x.whole", "x.text").filter("text is not null")
 
 
-def _calibrate(model: LanguageModel | TableModel, rows: DataFrame, sample: int) -> None:
+def _calibrate(model: LanguageModel | TableModel, rows: DataFrame) -> None:
     """Fit temperature and rejection limit on a bounded random sample of rows that no model has counted."""
-    there = rows.select("id").count()
-    if not there:
-        return
-    bound = int(min(1.0, sample / there) * (1 << 18))
-    got = _measured(model, _with_beginnings(rows.filter(F.col("part") < bound).select("lang", "text")))
+    got = _measured(model, _with_beginnings(rows))
     names = model.languages
     model = model.verdicts if isinstance(model, TableModel) else model
-    got = got[got["lang"].isin(names)]
     if not len(got):
         return
     h, n = np.stack(got["h"].to_numpy()), got["n"].to_numpy()
