@@ -112,3 +112,32 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (103, 101), (104, 103), (200, 200)]
     got = {r["node"]: r["label"] for r in J.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 61)}, 100: 100, 101: 100, 103: 100, 104: 100}
+
+
+def test_sets_that_are_deficient_in_all_families_meet():
+    rng = np.random.default_rng(3)
+    for percent in (10, 20, 30, 50, 60):
+        plans = {b: J.plan(high, low, percent, 1_000_000) for b, low, high in J.bands(60)}
+        for size in (2, 5, 9, 20):
+            for _ in range(40):
+                s = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+                both = -(-percent * 2 * size // (100 + percent))  # the fewest that link two sets of this size
+                t = np.unique(np.concatenate([s[:both], rng.integers(0, 1 << 63, size - both).astype(np.uint64)]))
+                if 100 * both >= percent * (len(s) + len(t) - both):
+                    assert len(np.intersect1d(J.signatures(s, percent, plans), J.signatures(t, percent, plans))), (percent, size)
+
+
+def test_parameters_in_use_need_no_single_grams():
+    rng = np.random.default_rng(4)
+    for percent in (80, 90):
+        plans = {b: J.plan(high, low, percent, 1000) for b, low, high in J.bands(400)}
+        for size in (1, 7, 40, 200, 400):
+            s = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+            single = {int(x) for b, _, _ in J.band_list(len(s)) for x in J.mix64(s ^ np.uint64((2 * b + 2) * 0xD6E8FEB86659FD93 % (1 << 64)))}
+            assert single.isdisjoint(map(int, J.signatures(s, percent, plans)))
+
+
+def test_no_pair_is_lost_if_no_family_can_do():
+    s = np.arange(1, 11).astype(np.uint64)
+    plans = {b: (5, 1, 0) for b, _, _ in J.bands(40)}  # one segment, where six would be needed
+    assert len(np.intersect1d(J.signatures(s, 50, plans), J.signatures(s[:-3], 50, plans)))

@@ -148,6 +148,8 @@ def signatures(s: np.ndarray, percent: int, plans: dict[int, tuple[int, int, int
                     out.append(mix64(less ^ (seg[mine].astype(np.uint64) * np.uint64(0xA0761D6478BD642F) + salt)))
                 if len(used) + int(loose.sum()) >= h + 1:
                     break  # not deficient: one linked partner in this family is sure to be met
+            else:  # deficient in all: two such sets meet by an n-gram they share
+                out.append(mix64(s ^ np.uint64(2 * band + 2) * np.uint64(0xD6E8FEB86659FD93)))
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
