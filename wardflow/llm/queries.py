@@ -6,10 +6,13 @@ from wardflow.llm.ann import op9_ann
 from wardflow.llm.bpe import op3_bpe
 from wardflow.llm.html_text import op4_html_text
 from wardflow.llm.jaccard import op10_jaccard_join
+from wardflow.llm.katz import op12_katz
 from wardflow.llm.language_id import op1_language_id
+from wardflow.llm.lexical import OP11_SQL, op11_search
 from wardflow.llm.license_scan import op7_license_scan
 from wardflow.llm.packing import op5_packing
 from wardflow.llm.quality import op8_quality
+from wardflow.llm.spelling import op13_spelling
 from wardflow.llm.url_filter import OP6_SQL, op6_url_filter
 from wardflow.llm.warc_zip import op2_warc
 
@@ -24,8 +27,12 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_ann": op9_ann,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_search": op11_search,
+    "op12_katz": op12_katz,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_url_filter": OP6_SQL,
+    "op11_search": OP11_SQL,
 }
