@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -66,3 +66,10 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one written table."""
     return shared_dir(spark, "wardflow", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, written once: what reads it neither recomputes it nor pushes predicates into it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
