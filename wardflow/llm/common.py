@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +77,41 @@ def keep_where(docs: DataFrame, result, field: str) -> DataFrame:
     """The rows of ``docs``, all columns as they are, for which the boolean ``field`` of the struct ``result`` is true."""
     name = free_name(docs, "verdict")
     return docs.withColumn(name, result).filter(F.col(f"{name}.{field}")).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def give_back() -> None:
+    """Return what a task's arrays held to the system: a worker that serves other tasks later keeps none of it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
+_kept: dict = {}  # what this worker keeps from task to task, for one owner at a time
+
+
+def worker_cache(owner, make):
+    """``make()``, kept in this Python worker until a task of another owner runs in it."""
+    if owner not in _kept:
+        release_cache()
+        _kept[owner] = make()
+    return _kept[owner]
+
+
+def release_cache() -> None:
+    if _kept:
+        _kept.clear()
+        give_back()
+
+
+def then_give_back(run):
+    """``run`` of mapInArrow or applyInArrow (an iterator of batches), around which the worker's free memory is returned."""
+    def wrapped(*args):
+        release_cache()
+        try:
+            yield from run(*args)
+        finally:
+            give_back()
+    return wrapped

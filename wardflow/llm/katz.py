@@ -38,12 +38,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import id_bucket, mix64, stage, table
+from wardflow.llm.common import id_bucket, mix64, stage, table, then_give_back
 from wardflow.llm.packed import floats, numbers, pack, planes, text_chunks, unpack
 
 ORDER = 2
 TOP = 5  # the largest count that is discounted
-CHUNK_CHARS = 24_000_000
+CHUNK_CHARS = 8_000_000
 END = b""  # no word is empty
 BEGIN = 1 << 62  # number of the context before a text's first token
 UNKNOWN = BEGIN + 1
@@ -159,7 +159,7 @@ def split_words(docs: DataFrame, buckets: int, words: bool) -> DataFrame:
                     out.append((chunk, b, pack(words=known.take(pa.array(mine)), counts=planes(counts[mine]))))
             yield _messages(out)
 
-    return docs.mapInArrow(run, MESSAGE)
+    return docs.mapInArrow(then_give_back(run), MESSAGE)
 
 
 def count_words(messages: DataFrame, buckets: int) -> DataFrame:
@@ -309,7 +309,7 @@ def ask(states: DataFrame, level: int, buckets: int, tokens: int) -> DataFrame:
                 if out:
                     yield _messages(out)
 
-    return states.mapInArrow(run, MESSAGE)
+    return states.mapInArrow(then_give_back(run), MESSAGE)
 
 
 def count_grams(messages: DataFrame, buckets: int, numbered: bool) -> DataFrame:
