@@ -141,3 +141,29 @@ def test_no_pair_is_lost_if_no_family_can_do():
     s = np.arange(1, 11).astype(np.uint64)
     plans = {b: (5, 1, 0) for b, _, _ in J.bands(40)}  # one segment, where six would be needed
     assert len(np.intersect1d(J.signatures(s, 50, plans), J.signatures(s[:-3], 50, plans)))
+
+
+def test_blocks_are_dealt_by_block(make_docs):
+    """Not by signature: that would leave all blocks of a crowd to one task."""
+    spark = make_docs([]).sparkSession
+    members = spark.createDataFrame([], "sig long, a long, own int, blocks int, size long, sketch binary")
+    sets = spark.createDataFrame([], "cid long, body binary")
+    labels = spark.createDataFrame([], "node long, label long")
+    join = J.Join(make_docs([(1, "a b c", None)]), 3, 90, "doc_id", "text")
+    plan = join.crowded_links(members, labels, sets)._jdf.queryExecution().toString()
+    assert "hashpartitioning(sig" in plan and plan.count("REPARTITION_BY_COL") >= 1
+
+
+def test_thousands_of_near_copies(make_docs, monkeypatch):
+    """Copies of one text, each linked to it and to few others: one component, and few rows to find it."""
+    made = []
+    stage = J.stage
+    monkeypatch.setattr(J, "stage", lambda df, name: made.append((name, stage(df, name))) or made[-1][1])
+    rng = random.Random(9)
+    text = prose(77, 160)
+    texts = [text] + [edited(text, rng, 2) for _ in range(3000)] + [prose(1000 + i, 100) for i in range(50)]
+    got = J.jaccard_components(make_docs([(i, t, None) for i, t in enumerate(texts)]).repartition(4), 3, 90).collect()
+    assert {r["component_id"] for r in got if r["id"] <= 3000} == {0}
+    assert sum(r["component_id"] == r["id"] for r in got) == 51
+    rows = {name: df.count() for name, df in made}
+    assert rows["undecided"] < 20 * len(texts) and rows["links-1"] < 20 * len(texts)

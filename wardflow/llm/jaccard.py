@@ -20,10 +20,15 @@ stay membership lists.
 
 *Verification.* A parity sketch of 1,024 bits bounds the difference of two sets
 from below, which drops most pairs without touching the sets. The rest is
-compared exactly, in two rounds: first each class with one neighbour (and each
-crowded group around one centre); then, blockwise within crowded groups, only
-what still lies in different components. Every link that could join two
-components is therefore verified, while pairs inside a component aren't emitted.
+compared exactly, in two rounds. First each class meets its nearest neighbour, and the
+classes of a crowd their centre: the one whose sketch is nearest to the bitwise majority of
+the crowd's sketches, which is where copies of one text come from. What then lies in
+different components is compared: pairs of small groups as they are, of a crowd the
+classes outside its largest component with all others, in blocks of at most ``BLOCK`` by
+``BLOCK`` that any task can take. A block holds the exact sets of the classes that sketches leave undecided,
+verifies only pairs that are still apart, and hands on the links that join them (fewer than its
+classes). Every link that could join two components is therefore verified, while pairs inside a component
+aren't emitted. No step holds a crowd whole but that which deals signatures, as two numbers for each class.
 
 Defined results: null, empty and blank texts have an empty set, link with nothing
 and are their own component; with fewer than ``n`` words the whole sequence is the
@@ -42,14 +47,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import free_name, mix64, stage, table
+from wardflow.llm.common import free_name, mix64, stage, table, then_give_back
 
 RATIO = 1.5  # of a size band's ends
 SKETCH_BITS = 1024
 CROWD = 48  # classes with an equal signature that are paired at once
 BLOCK = 512  # classes of a crowded group compared with as many others in one task
-FLUSH = 1_000_000  # signatures a task gathers before it hands them on
+FLUSH = 500_000  # signatures a task gathers before it hands them on
 ROUNDS = 60
+MET = ["sig", "a", "b", "own", "blocks"]
 
 
 def bands(most: int) -> Iterator[tuple[int, int, int]]:
@@ -180,10 +186,10 @@ class Join:
                     ["id", "size", "cid", "sketch"])
 
         kind = self.docs.schema["id"].dataType.simpleString()
-        return self.docs.mapInArrow(run, f"id {kind}, size long, cid long, sketch binary")
+        return self.docs.mapInArrow(then_give_back(run), f"id {kind}, size long, cid long, sketch binary")
 
     def shared_signatures(self, plans: dict[int, tuple[int, int, int]]) -> DataFrame:
-        """(a, b) of classes that share a signature; (signature, a) where a crowd does."""
+        """(a, b) of classes that share a signature; where a crowd does, (sig, a) with a's block and the crowd's number of blocks."""
         # a partition's texts have more signatures than words to spare: several buckets for each, so that one fits a task
         n, percent, buckets = self.n, self.percent, 4 * self.parts
 
@@ -238,7 +244,10 @@ class Join:
             count = np.diff(np.r_[starts, len(sig)])
             crowd = np.repeat(count > CROWD, count)
             if crowd.any():
-                yield _rows(sig[crowd].view(np.int64), cid[crowd], None)
+                place = np.arange(len(sig)) - np.repeat(starts, count)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sig[crowd].view(np.int64)), pa.array(cid[crowd]), pa.nulls(int(crowd.sum()), pa.int64()),
+                     pa.array((place[crowd] // BLOCK).astype(np.int32)), pa.array(np.repeat(-(-count // BLOCK), count)[crowd].astype(np.int32))], MET)
             for length in np.unique(count[(count > 1) & (count <= CROWD)]):
                 first, second = np.triu_indices(int(length), 1)
                 heads = starts[count == length]
@@ -249,17 +258,15 @@ class Join:
                     order = np.lexsort((b, a))
                     a, b = a[order], b[order]
                     new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
-                    yield _rows(None, a[new], b[new])
-
-        def _rows(sig, a, b) -> pa.RecordBatch:
-            empty = pa.nulls(len(a), pa.int64())
-            return pa.RecordBatch.from_arrays([empty if sig is None else pa.array(sig), pa.array(a), empty if b is None else pa.array(b)], ["sig", "a", "b"])
+                    a, b = a[new], b[new]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int32())], MET)
 
-        packed = self.docs.select("text").mapInArrow(sign, "bucket int, sig binary, at binary, cid binary")
-        return packed.groupBy("bucket").applyInArrow(_grouped(meet), "sig long, a long, b long")
+        packed = self.docs.select("text").mapInArrow(then_give_back(sign), "bucket int, sig binary, at binary, cid binary")
+        return packed.groupBy("bucket").applyInArrow(_grouped(meet), "sig long, a long, b long, own int, blocks int")
 
     def near(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """Those (a, b) that sizes and sketches don't rule out."""
+        """Those (a, b) that sizes and sketches don't rule out, with the sketches' distance."""
         percent = self.percent
         side = lambda x: classes.select(F.col("cid").alias(x), F.col("size").alias(f"size_{x}"), F.col("sketch").alias(f"sketch_{x}"))
 
@@ -269,10 +276,11 @@ class Join:
                     continue
                 x, y = (_bits(batch.column(f"sketch_{c}").to_pylist()) for c in "ab")
                 m, k = (batch.column(f"size_{c}").to_numpy() for c in "ab")
-                ok = np.bitwise_count(x ^ y).sum(axis=1) <= difference(m, k, percent)
-                yield batch.select(["a", "b"]).filter(pa.array(ok))
+                d = np.bitwise_count(x ^ y).sum(axis=1).astype(np.int64)
+                ok = pa.array(d <= difference(m, k, percent))
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(d)], ["a", "b", "d"]).filter(ok)
 
-        return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+        return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(then_give_back(run), "a long, b long, d long")
 
     def sets_of(self, cids: DataFrame, classes: DataFrame) -> DataFrame:
         """(cid, set) of the classes named, from one document of each."""
@@ -287,7 +295,7 @@ class Join:
 
         ids = classes.join(cids, "cid", "left_semi").select("id")
         return self.docs.join(ids, self.docs["id"].eqNullSafe(ids["id"]), "left_semi").select("text") \
-            .mapInArrow(run, "cid long, body binary").dropDuplicates(["cid"])
+            .mapInArrow(then_give_back(run), "cid long, body binary").dropDuplicates(["cid"])
 
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         percent = self.percent
@@ -298,39 +306,105 @@ class Join:
                 ok = [_linked(x, y, percent) for x, y in zip(*(batch.column(f"set_{c}").to_pylist() for c in "ab"), strict=True)]
                 yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-        return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+        return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(then_give_back(run), "a long, b long")
+
+    def around_centres(self, members: DataFrame) -> DataFrame:
+        """(a, b) of each crowd's classes with its centre, from its blocks' tallies of sketch bits."""
+        def tally(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            bits = np.unpackbits(np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(table.num_rows, -1), axis=1)
+            counts = bits.sum(axis=0, dtype="<u4").tobytes()
+            return pa.table([pa.array([key[0].as_py()], pa.int64()), table.column("blocks").slice(0, 1), pa.array([table.num_rows], pa.int64()), pa.array([counts], pa.binary())],
+                            ["sig", "blocks", "n", "counts"])
+
+        def majority(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n, counts, blocks = 0, np.zeros(SKETCH_BITS, np.int64), None
+            for batch in batches:
+                n += sum(batch.column("n").to_pylist())
+                counts += sum(np.frombuffer(x, "<u4").astype(np.int64) for x in batch.column("counts").to_pylist())
+                blocks = batch.column("blocks").slice(0, 1)
+            middle = np.packbits(2 * counts > n).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), blocks, pa.array([middle], pa.binary())], ["sig", "blocks", "middle"])
+
+        def distance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    x, y = (_bits(batch.column(c).to_pylist()) for c in ("sketch", "middle"))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("sig"), batch.column("a"), pa.array(np.bitwise_count(x ^ y).sum(axis=1).astype(np.int64))], ["sig", "a", "d"])
+
+        tallies = members.repartition("sig", "own").groupBy("sig", "own").applyInArrow(tally, "sig long, blocks int, n long, counts binary")
+        middles = tallies.groupBy("sig").applyInArrow(majority, "sig long, blocks int, middle binary") \
+            .select("sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"), "middle")
+        centres = members.join(middles, ["sig", "own"]).select("sig", "a", "sketch", "middle").mapInArrow(distance, "sig long, a long, d long") \
+            .groupBy("sig").agg(F.min(F.struct("d", "a"))["a"].alias("c"))
+        return members.select("sig", "a").join(centres, "sig").filter("a <> c").select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
 
-    def crowded_pairs(self, crowd: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-        """Of classes with a crowded signature, those in different components that sketches don't rule out."""
+    def crowded_links(self, members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links (a, b) between components of a crowd: of its classes outside the largest component with all others."""
         percent = self.percent
-        named = crowd.join(classes.select("cid", "size", "sketch"), F.col("a") == F.col("cid")).drop("cid") \
-            .join(labels, F.col("a") == F.col("node"), "left").select("sig", "a", "size", "sketch", F.coalesce("label", "a").alias("label"))
+        named = members.join(labels, F.col("a") == F.col("node"), "left").withColumn("label", F.coalesce("label", "a")).drop("node")
         # groups of one component have nothing left to compare
-        counts = named.groupBy("sig").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")) \
-            .filter("lo <> hi").select("sig", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        dealt = named.join(counts, "sig").withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")) \
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-            .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "a", "size", "sketch", "label")
-
-        def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-            i, j = key[1].as_py(), key[2].as_py()
-            own, a, size, label = (table.column(c).to_numpy() for c in ("own", "a", "size", "label"))
+        split = named.groupBy("sig", "label").count().groupBy("sig").agg(F.max(F.struct("count", "label")).alias("most"), F.sum("count").alias("n")) \
+            .filter("n > most.count").select("sig", F.col("most.label").alias("major"), F.ceil((F.col("n") - F.col("most.count")) / BLOCK).cast("int").alias("rows"))
+        apart = named.join(split, "sig").withColumn("minor", F.col("label") != F.col("major"))
+        numbers = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        keep = ["sig", "i", "j", "side", "a", "size", "sketch", "label", "minor"]
+        left = apart.filter("minor").withColumns({"i": F.pmod(F.xxhash64("a"), F.col("rows")).cast("int"), "side": F.lit(0)}).withColumn("j", numbers(F.col("blocks")))
+        right = apart.withColumns({"j": F.col("own"), "side": F.lit(1)}).withColumn("i", numbers(F.col("rows")))
+        kind = "sig long, i int, j int, side int, a long, size long, sketch binary, label long, minor boolean"
+
+        def feasible(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+            """(row on the left, rows on the right, distances) that neither component nor sketch rules out."""
+            a, size, label, side = (table.column(c).to_numpy() for c in ("a", "size", "label", "side"))
+            minor = np.array(table.column("minor"), bool)
             bits = _bits(table.column("sketch").to_pylist())
-            left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-            found_a, found_b = [], []
-            for x in left:
-                ys = right[(label[right] != label[x]) & ((a[right] > a[x]) if i == j else True)]
-                ok = ys[np.bitwise_count(bits[ys] ^ bits[x]).sum(axis=1) <= difference(size[ys], size[x], percent)]
-                found_a.append(np.minimum(a[ok], a[x]))
-                found_b.append(np.maximum(a[ok], a[x]))
-            return pa.table({"a": np.concatenate([*found_a, np.zeros(0, np.int64)]), "b": np.concatenate([*found_b, np.zeros(0, np.int64)])})
-
-        return dealt.groupBy("sig", "i", "j").applyInArrow(run, "a long, b long").distinct()
+            right = np.flatnonzero(side == 1)
+            for x in np.flatnonzero(side == 0):
+                ys = right[(label[right] != label[x]) & (~minor[right] | (a[right] > a[x]))]
+                d = np.bitwise_count(bits[ys] ^ bits[x]).sum(axis=1)
+                ok = d <= difference(size[ys], size[x], percent)
+                if ok.any():
+                    yield x, ys[ok], d[ok]
+
+        def undecided(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            use = np.zeros(table.num_rows, bool)
+            for x, ys, _ in feasible(table):
+                use[x] = use[ys] = True
+            return table.select(keep).filter(pa.array(use))
+
+        def verify(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            a, label, body = table.column("a").to_numpy(), table.column("label").to_pylist(), table.column("body").to_pylist()
+            parent = {x: x for x in label}
+
+            def find(x: int) -> int:
+                while parent[x] != x:
+                    parent[x] = x = parent[parent[x]]
+                return x
+
+            found = []
+            every = [(x, ys, d) for x, ys, d in feasible(table)]
+            d = np.concatenate([d for _, _, d in every] or [np.zeros(0, np.int64)])
+            xs = np.repeat([x for x, _, _ in every], [len(ys) for _, ys, _ in every]).astype(np.int64)
+            ys = np.concatenate([ys for _, ys, _ in every] or [np.zeros(0, np.int64)])
+            for at in np.argsort(d, kind="stable"):  # near ones first: they join most, and what is joined needs no comparison
+                x, y = xs[at], ys[at]
+                if (one := find(label[x])) != (other := find(label[y])) and _linked(body[x], body[y], percent):
+                    parent[one] = other
+                    found.append((min(a[x], a[y]), max(a[x], a[y])))
+            return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+        # the join's dealing by signature would do for the grouping, and leave all blocks of a crowd in one task
+        block = ["sig", "i", "j"]
+        rows = left.select(keep).unionByName(right.select(keep)).repartition(*block).groupBy(*block).applyInArrow(undecided, kind)
+        whole = stage(rows, "undecided").join(sets, F.col("a") == F.col("cid")).drop("cid")
+        return whole.repartition(*block).groupBy(*block).applyInArrow(verify, "a long, b long").distinct()
 
 
 def _grouped(fn):
+    freed = then_give_back(fn)
+
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return fn(batches)
+        return freed(batches)
     return run
 
 
@@ -371,8 +445,8 @@ def components(edges: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row of ``docs``."""
     join = Join(docs, n, percent, id_col, text_col)
-    members = stage(join.classes_of_documents(), "members")
-    classes = stage(members.filter("size > 0").groupBy("cid")
+    rows = stage(join.classes_of_documents(), "members")
+    classes = stage(rows.filter("size > 0").groupBy("cid")
                     .agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("sketch").alias("sketch")), "classes")
     most = classes.agg(F.max("size")).first()[0] or 0
     known = list(bands(most))
@@ -381,27 +455,26 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
         (F.size(F.filter(edge, lambda low: low <= F.col("size"))) - 1).alias("band")).count().collect()}  # a row for each band
     plans = {b: plan(high, low, percent, per_band.get(b, 0)) for b, low, high in known}
     met = stage(join.shared_signatures(plans), "signatures")
-    crowd = met.filter("b is null").select("sig", "a")
-    centre = crowd.groupBy("sig").agg(F.min("a").alias("c"))
-    around = crowd.join(centre, "sig").filter("a <> c").select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b"))
-    pairs = met.filter("b is not null").select("a", "b").unionAll(around).distinct()
-    near = stage(join.near(pairs, classes), "near")
-    ends = near.select("a", "b").unionAll(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    one = ends.groupBy("a").agg(F.min("b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    named = near.select(F.col("a").alias("cid")).unionAll(near.select(F.col("b").alias("cid"))).unionAll(crowd.select(F.col("a").alias("cid"))).distinct()
+    members = stage(met.filter("b is null").select("sig", "a", "own", "blocks")
+                    .join(classes.select(F.col("cid").alias("a"), "size", "sketch"), "a"), "crowds")
+    around = stage(join.around_centres(members), "around")
+    near = stage(join.near(met.filter("b is not null").select("a", "b").unionByName(around).distinct(), classes), "near")
+    ends = near.select("a", "b", "d").unionAll(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
+    nearest = ends.groupBy("a").agg(F.min(F.struct("d", "b"))["b"].alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    one = nearest.unionByName(near.join(around, ["a", "b"], "left_semi").select("a", "b")).distinct()
+    named = near.select(F.col("a").alias("cid")).unionAll(near.select(F.col("b").alias("cid"))).unionAll(members.select(F.col("a").alias("cid"))).distinct()
     sets = stage(join.sets_of(named, classes), "sets")
     first = stage(join.verified(one, sets), "links-1")
     labels = stage(components(first), "labels")
     far = labels.select(F.col("node").alias("a"), F.col("label").alias("la")), labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
     between = near.join(far[0], "a", "left").join(far[1], "b", "left") \
-        .filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
-    rest = between.unionByName(join.crowded_pairs(crowd, classes, labels)).distinct().join(one, ["a", "b"], "left_anti")
-    second = join.verified(rest, sets)
+        .filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b").join(one, ["a", "b"], "left_anti")
+    second = join.verified(between, sets).unionByName(join.crowded_links(members, labels, sets))
     final = components(first.unionByName(second))
     named_by = final.join(classes.select(F.col("cid").alias("node"), "id"), "node").groupBy("label").agg(F.min("id").alias("component"))
     by_class = final.join(named_by, "label").select(F.col("node").alias("cid"), "component") \
         .unionByName(classes.join(final, F.col("cid") == F.col("node"), "left_anti").select("cid", F.col("id").alias("component")))
-    return members.select("id", "size", "cid").join(by_class, "cid", "left") \
+    return rows.select("id", "size", "cid").join(by_class, "cid", "left") \
         .select("id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))
 
 
