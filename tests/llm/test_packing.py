@@ -89,3 +89,21 @@ def test_cache_bound(monkeypatch):
     words, tok = packing.WordIds(PATH), load_tokenizer(PATH)
     assert [np.frombuffer(x, "<u4").tolist() for x in words.texts([t.encode() for t in texts])] == \
         [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_any_tokenizer(spark, make_docs, odd_texts):
+    """One that neither lower-cases nor cuts at white space encodes whole texts, as the library does."""
+    import public_tokenizers
+
+    from wardflow.llm.bpe import load_tokenizer
+
+    for name, words in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        path = public_tokenizers.path(name)
+        assert packing.cuts_at_white_space(path) == words
+        rows = list(enumerate([*odd_texts, "Hello world, Again", "a  b\n\nC"]))
+        got = {}
+        for r in packing.cut_documents(make_docs([(i, t, None) for i, t in rows]), path, with_ids=True).collect():
+            got.setdefault(r["doc_id"], []).append((r["start"], r["ids"]))
+        tok = load_tokenizer(path)
+        for i, t in rows:
+            assert [x for _, ids in sorted(got[i]) for x in ids] == [*tok.encode(t or "", add_special_tokens=False).ids, 2]

@@ -53,4 +53,4 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))

@@ -76,3 +76,27 @@ def test_batches_do_not_matter(monkeypatch):
     monkeypatch.setattr(Q, "STEP_CHARS", 200)
     parts = Q.QualityModel(w).predict(texts)
     assert np.allclose(whole["quality"], parts["quality"]) and whole.drop(columns="quality").equals(parts.drop(columns="quality"))
+
+
+def test_calibrated_on_held_out_rows(spark):
+    """Trained without a quarter of the labelled rows: on those, probabilities are what they say, and few good rows go."""
+    from pyspark.sql import functions as F
+
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    out = F.pmod(F.xxhash64("doc_id", F.lit("test")), F.lit(4)) == 0
+    model = Q.train(docs, labels.filter(~out))
+    rows = Q.add_quality(docs.join(labels.filter(out), "doc_id").select("doc_id", "text", F.col("quality").alias("good")).withColumnRenamed("good", "y"), model) \
+        .select("y", "quality", "kept", "base_failed").toPandas()
+    p, y = rows["quality"].to_numpy(), rows["y"].to_numpy() > 0
+    order = p.argsort()
+    ranks = np.empty(len(p))
+    ranks[order] = np.arange(1, len(p) + 1)
+    auc = (ranks[y].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (~y).sum())
+    bins = np.minimum((p * 10).astype(int), 9)
+    error = sum(abs(p[bins == b].mean() - y[bins == b].mean()) * (bins == b).mean() for b in np.unique(bins))
+    figures = dict(rows=len(p), good=y.mean(), mean_p=p.mean(), auc=auc, error=error, good_kept=rows["kept"][y].mean(), bad_kept=rows["kept"][~y].mean(),
+                   good_failed_base=rows["base_failed"][y].mean())
+    print(figures)
+    assert abs(p.mean() - y.mean()) < 0.04 and error < 0.06 and auc > 0.97, figures
+    assert figures["good_kept"] > 0.95 and figures["bad_kept"] < 0.1, figures

@@ -31,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import code_points, free_name, id_bucket, keep_where, mix64, stage, table, text_slices
+from wardflow.llm.common import code_points, free_name, give_back, id_bucket, keep_where, mix64, release_cache, stage, table, text_slices, then_give_back
 
 ORDER = 4
-SLICE = 1_000_000
+SLICE = 300_000
 LOCAL_GRAMS = 600_000  # (language, 4-gram) pairs whose models fit on the driver: at most 300 bytes each
 FALSE_REJECT = 0.001  # share of right texts of any length that the limit may reject
 SHORTEST = 16  # characters; bands of length double from here
@@ -51,7 +51,7 @@ def _letter_table() -> np.ndarray:
     global _LETTERS
     if _LETTERS is None:
         out = np.full(0x110000, SPACE, dtype=np.uint16)
-        for cp in range(0x30000):
+        for cp in range(0x110000):
             ch = chr(cp)
             if ch.isalpha():
                 low = ch.lower()
@@ -395,7 +395,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     bound = int(min(0.25, calibration_rows / sum(r["c"] for r in found)) * (1 << 20))
     aside = (part < bound) & ~F.col("lang").isin([r["lang"] for r in found if (r["last"] or 0) < bound])
     counted = rows.filter(~aside).select("lang", "text") \
-        .mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+        .mapInArrow(then_give_back(_count_grams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counted = stage(counted, "language-grams")
     languages, total = sorted(r["lang"] for r in found), counted.count()
     if total > LOCAL_GRAMS or total * len(languages) > DENSE_CELLS:
@@ -431,7 +431,7 @@ def _measured(model: LanguageModel | TableModel, rows: DataFrame) -> pd.DataFram
                 [*[batch.column(c).take(pa.array(use)) for c in ("lang", "whole")], pa.array(n[use]), pa.array(list(h[use]), pa.list_(pa.float64()))],
                 ["lang", "whole", "n", "h"])
 
-    return rows.mapInArrow(measure, "lang string, whole boolean, n double, h array<double>").toPandas()
+    return rows.mapInArrow(then_give_back(measure), "lang string, whole boolean, n double, h array<double>").toPandas()
 
 
 def _with_beginnings(rows: DataFrame) -> DataFrame:
@@ -486,8 +486,10 @@ def language_of(spark: SparkSession, model: LanguageModel, text):
 
     @F.pandas_udf(RESULT)
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release_cache()
         for batch in texts:
             yield shared.value.predict([t if isinstance(t, str) else None for t in batch])
+        give_back()
 
     # not moved or repeated by the optimizer, whatever is done with its fields
     return predict.asNondeterministic()(text)

@@ -15,11 +15,14 @@ long and needs no padding. Left-over tails of all classes fill common bins.
 
 Defined results: a null or empty text is a document of one token (the end id);
 repeated rows and null ids are packed as often as they come; an empty table
-gives an empty result. Only id and text are read, so other columns can't clash.
+gives an empty result. Only id and text are read, so other columns can't clash. The id
+must be a whole number. A tokenizer that doesn't cut at white space as the usual vocabulary does
+encodes whole texts instead of words.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from zlib import crc32
@@ -30,13 +33,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.llm.bpe import byte_alphabet, load_tokenizer
-from wardflow.llm.common import stage, table
+from wardflow.llm.common import give_back, stage, table, worker_cache
 
 CAPACITY = 4096
 TAIL = 64
 SHARE = 4096  # pieces of one class that one worker numbers
 CACHE_WORDS = 300_000  # bound on the words a task remembers
-STEP_WORDS = 400_000  # words looked up at once
+STEP_WORDS = 200_000  # words looked up at once
+STEP_BYTES = 4_000_000  # of whole texts encoded at once
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -53,6 +57,9 @@ def cuts(n: int, capacity: int = CAPACITY, tail: int = TAIL) -> list[int]:
     return out + [n] * (n > 0)
 
 
+# Fixed value: how the vocabulary that words are encoded for one by one cuts a text
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 # A word of Latin letters and signs after them, of which the vocabulary makes two pieces of text
 PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -108,15 +115,38 @@ class WordIds:
         return found
 
 
-_words: WordIds | None = None
+class WholeTexts:
+    """Ids of whole texts, for any tokenizer."""
 
+    def __init__(self, path: str):
+        self.tok = load_tokenizer(path)
 
-def _word_ids(path: str) -> WordIds:
+    def texts(self, texts: list[bytes]) -> Iterator[bytes]:
+        at = 0
+        while at < len(texts):
+            upto, size = at, 0
+            while upto < len(texts) and (upto == at or size + len(texts[upto]) <= STEP_BYTES):
+                size += len(texts[upto])
+                upto += 1
+            for e in self.tok.encode_batch_fast([t.decode() for t in texts[at:upto]], add_special_tokens=False):
+                yield np.array(e.ids, "<u4").tobytes()
+            at = upto
+
+
+def cuts_at_white_space(path: str) -> bool:
+    """Whether the tokenizer lower-cases and cuts texts as ``WordIds`` takes for granted: then words can be encoded by themselves."""
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    normal = [x["type"] for x in (made["normalizer"] or {}).get("normalizers", [])]
+    cut = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (normal == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in cut] == ["Split", "ByteLevel"] and cut[0]["behavior"] == "Removed"
+            and cut[0]["pattern"] == {"Regex": CUT} and not cut[1]["add_prefix_space"] and not cut[1]["use_regex"] and made["model"]["type"] == "BPE"
+            and not any(x["normalized"] or x["lstrip"] or x["rstrip"] or " " in x["content"] for x in made["added_tokens"]))
+
+
+def _encoder(path: str) -> WordIds | WholeTexts:
     """One per Python worker, which serves many tasks."""
-    global _words
-    if _words is None or _words.path != path:
-        _words = WordIds(path)
-    return _words
+    return worker_cache(("packing", path), lambda: (WordIds if cuts_at_white_space(path) else WholeTexts)(path))
 
 
 def cut_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -124,7 +154,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     """The pieces of every document; ``with_ids`` adds their token ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _word_ids(tokenizer_path)
+        words = _encoder(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
@@ -141,6 +171,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                     rows = []
             if rows:
                 yield arrow(rows)
+        give_back()
 
     def arrow(rows):
         columns = list(zip(*rows, strict=True))

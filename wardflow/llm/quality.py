@@ -23,10 +23,10 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import free_name, keep_where, mix64, table
+from wardflow.llm.common import free_name, give_back, keep_where, mix64, release_cache, stage, table, then_give_back
 
 BITS = 14  # hashed features of each of the three families
 WINDOW = 8  # words of a repeated passage
@@ -38,7 +38,7 @@ RESULT = ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, qualit
 
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
-KEEP_FROM = 0.2  # calibrated probability of good quality: only clear junk goes
+KEEP_FROM = 0.5  # calibrated probability of good quality, among documents as the labelled ones: what is more likely good stays
 
 
 def _starts(sizes: np.ndarray) -> np.ndarray:
@@ -147,10 +147,12 @@ class QualityModel:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          most_rows: int = 6000, seed: str = "quality", rounds: int = 300) -> QualityModel:
+          most_rows: int = 6000, seed: str = "quality", rounds: int = 300, most_bytes: int = 300_000_000) -> QualityModel:
     """Fit on about ``most_rows`` labelled documents, the bound of the training sample, chosen by a hash of the id.
 
-    Half the sample is taken from each label, as far as it goes; one in four of its rows calibrates (Platt scaling).
+    Half the sample is taken from each label, as far as it goes, in the order of the hash until the rows' features
+    reach ``most_bytes``. One in four of its rows calibrates (Platt scaling), where each label weighs what it has among all
+    labelled rows, so that a probability holds for documents as those.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).dropna() \
         .groupBy("id").agg(F.min("y").alias("y")).withColumn("h", F.xxhash64("id", F.lit(seed)))
@@ -172,14 +174,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("y"), batch.column("h"), pa.array(slots, pa.binary()), pa.array(values, pa.binary())], ["y", "h", "slots", "values"])
 
+    share = {bool(r["good"]): r["count"] for r in known.groupBy((F.col("y") > 0).alias("good")).count().collect()}
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     # at most most_rows ids and labels: their number is bounded by the limits above
     rows = texts.join(F.broadcast(sample), "id").select("text", "y", "h") \
-        .mapInArrow(features, "y int, h long, slots binary, values binary").toArrow()
-    return _fit(rows, rounds)
+        .mapInArrow(then_give_back(features), "y int, h long, slots binary, values binary")
+    rows = stage(rows, "quality-sample")
+    so_far = F.sum(F.length("slots") + F.length("values")).over(Window.orderBy("h", "y"))  # most_rows rows at most
+    fit = rows.select("h", "y", "slots", "values", so_far.alias("bytes")).filter(F.col("bytes") <= most_bytes) \
+        .select("y", "h", "slots", "values").toArrow()
+    return _fit(fit, rounds, share.get(True, 0) / max(1, sum(share.values())))
 
 
-def _fit(rows: pa.Table, rounds: int, scale: float = 30.0, decay: float = 1e-4) -> QualityModel:
+def _fit(rows: pa.Table, rounds: int, prior: float, scale: float = 30.0, decay: float = 1e-4) -> QualityModel:
+    """``prior``: the share of good rows among all labelled ones."""
     y = (rows.column("y").to_numpy() > 0).astype(float)
     if len(set(y)) < 2:
         return QualityModel()
@@ -218,7 +226,7 @@ def _fit(rows: pa.Table, rounds: int, scale: float = 30.0, decay: float = 1e-4)
     use = held if len(set(y[held])) == 2 else np.ones(len(y), bool)
     a, c = 1.0, 0.0
     target = np.where(y[use] > 0, (y[use].sum() + 1) / (y[use].sum() + 2), 1 / ((1 - y[use]).sum() + 2))
-    cw = np.where(y[use] > 0, 0.5 / y[use].sum(), 0.5 / (1 - y[use]).sum())
+    cw = np.where(y[use] > 0, prior / y[use].sum(), (1 - prior) / (1 - y[use]).sum())
     for _ in range(50):  # Newton steps of Platt scaling
         p = 1 / (1 + np.exp(-(a * z[use] + c)))
         d, q = (p - target) * cw, p * (1 - p) * cw
@@ -234,8 +242,10 @@ def quality_of(spark: SparkSession, model: QualityModel, text):
 
     @F.pandas_udf(RESULT)
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release_cache()
         for batch in texts:
             yield shared.value.predict([t if isinstance(t, str) else None for t in batch])
+        give_back()
 
     # not moved or repeated by the optimizer, whatever is done with its fields
     return predict.asNondeterministic()(text)
