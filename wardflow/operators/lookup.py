@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from wardflow.schema import CODE_MAP_COLUMNS, q
 
+MOST_LITERALS = 500
+
 
 def unique_codes(maps: DataFrame) -> DataFrame:
     """One description per (map, code) so a join never multiplies rows."""
@@ -18,11 +21,17 @@ def unique_codes(maps: DataFrame) -> DataFrame:
 def decode_ids(df: DataFrame, maps: DataFrame, cols: Sequence[str] = tuple(CODE_MAP_COLUMNS)) -> DataFrame:
     """Add ``<col>_description`` for each id column; unmatched ids keep a NULL description.
 
-    Whether a map is broadcast is the planner's choice, by its size in bytes
-    (``spark.sql.autoBroadcastJoinThreshold``); beyond that the join shuffles
-    and AQE splits hot ids.
+    Maps of at most ``MOST_LITERALS`` codes in all (the shipped file has 64) become one constant
+    map for each column, looked up in the projection of the scan: no join. Larger ones are
+    joined; whether they are broadcast is then the planner's choice, by their size in
+    bytes (``spark.sql.autoBroadcastJoinThreshold``), and AQE splits hot ids.
     """
-    m = unique_codes(maps)
+    m = unique_codes(maps.where(F.col("map_name").isin(*cols)))
+    known = m.limit(MOST_LITERALS + 1).collect()
+    if len(known) <= MOST_LITERALS:
+        of = {c: {r["code"]: r["description"] for r in known if r["map_name"] == c and r["code"] is not None} for c in cols}
+        looked = {c: F.try_element_at(F.from_json(F.lit(json.dumps(of[c])), "map<string,string>"), F.col(q(c)).cast("string")) for c in cols}
+        return df.withColumns({f"{c}_description": expr for c, expr in looked.items()})
     out = df
     for c in cols:
         side = m.where(F.col("map_name") == F.lit(c)).select(

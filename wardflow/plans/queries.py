@@ -26,7 +26,7 @@ from wardflow.operators.lookup import code_usage, decode_ids
 from wardflow.schema import (CATEGORICAL_COLUMNS, DIAGNOSIS_COLUMNS, DROP_COLUMNS, KEY, LABEL, MEDICATION_COLUMNS,
                              NUMERIC_COLUMNS, PER_DAY_RATIOS, RAW_COLUMNS, RECORD_FIELDS, WEIGHT, q)
 from wardflow.session import scratch_path
-from wardflow.sources.files import (read_code_maps, read_confusion, read_encounters, read_metrics, write_confusion,
+from wardflow.sources.files import (read_code_maps, read_confusion, read_encounters, read_encounters_checked, read_metrics, write_confusion,
                                     write_csv, write_metrics)
 
 Query = Callable[[SparkSession, DataFrame], DataFrame]
@@ -88,6 +88,27 @@ def q_scan_csv(spark, enc):
     return read_encounters(spark, path)
 
 
+def faulty_lines(enc: DataFrame) -> DataFrame:
+    """(part, line) of a header CSV in eight files: of one age band only the first two fields, of another one too many."""
+    line = F.to_csv(F.struct(*[F.col(q(c)) for c in enc.columns]))
+    line = F.when(F.col("age") == "[50-60)", F.array_join(F.slice(F.split(line, ","), 1, 2), ",")) \
+        .when(F.col("age") == "[70-80)", F.concat(line, F.lit(",surplus"))).otherwise(line)
+    rows = enc.select(F.pmod(F.xxhash64(KEY), F.lit(8)).cast("int").alias("part"), F.lit(1).alias("at"), line.alias("value"))
+    heads = enc.sparkSession.range(8).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("at"), F.lit(",".join(enc.columns)).alias("value"))
+    return rows.unionByName(heads)
+
+
+@query("scan_csv_rejects")
+def q_scan_csv_rejects(spark, enc):
+    """Lines with too few or too many fields come out as rejects, by encounter."""
+    path = scratch_path(spark, "faulty-csv")
+    lines = faulty_lines(enc).repartition(8, "part").sortWithinPartitions("part", "at").select("part", "value")
+    lines.write.partitionBy("part").text(path)
+    rows, rejects = read_encounters_checked(spark, f"{path}/part=*")
+    bad = rejects.select(F.split("line", ",")[0].alias(KEY), "reason")
+    return rows.select(KEY, F.lit("").alias("reason")).unionByName(bad)
+
+
 @query("preview")
 def q_preview(spark, enc):
     return P.preview(cleaned(enc), 10, [KEY])

@@ -278,25 +278,25 @@ def model_oracles() -> dict[str, str]:
     test = f"_test AS (SELECT {BINARY} AS label FROM _nt WHERE NOT ({TRAIN}))"
     scores = with_([NT, test], "SELECT count(*) AS n_rows, count(*) FILTER (WHERE label = 1.0) AS n_positive, CAST(0 AS BIGINT) AS n_out_of_range, "
                                "CAST(0 AS BIGINT) AS n_contradicting FROM _test")
-    evaluated = dict(n_positive="count(*) FILTER (WHERE label = 1.0)", n_negative="count(*) FILTER (WHERE label = 0.0)", n_metrics_in_range="5")
+    evaluated = dict(n_positive="count(*) FILTER (WHERE label = 1.0)", n_negative="count(*) FILTER (WHERE label = 0.0)")
+    agreed = " UNION ALL SELECT 'n_metrics_agree', CAST(5 AS BIGINT) UNION ALL SELECT 'n_better_than_chance', CAST(1 AS BIGINT)"
     strict_test = f"_strict_test AS (SELECT label FROM _strict WHERE label IS NOT NULL AND NOT ({TRAIN}))"
-    one = lambda s: s.replace("CAST(5 AS BIGINT) AS value FROM _test", "CAST(5 AS BIGINT) AS value").replace(
-        "CAST(5 AS BIGINT) AS value FROM _strict_test", "CAST(5 AS BIGINT) AS value")
     batch = dict(n_scored="count(*) FILTER (WHERE is_valid)", n_rejected="count(*) FILTER (WHERE NOT is_valid)")
     zero = lambda *names: "".join(f" UNION ALL SELECT {lit(n)}, CAST(0 AS BIGINT)" for n in names)
     compare = " UNION ALL ".join(
         f"SELECT {lit(m)} AS model, count(*) FILTER (WHERE label = 1.0) AS n_positive, count(*) FILTER (WHERE label = 0.0) AS n_negative, "
-        f"CAST(5 AS BIGINT) AS n_metrics_in_range FROM _test" for m in ("logistic", "logistic_weighted", "forest", "gbt"))
+        f"CAST(5 AS BIGINT) AS n_metrics_agree, CAST(1 AS BIGINT) AS n_better_than_chance FROM _test" for m in ("logistic", "logistic_weighted", "forest", "gbt"))
     return {
         "encode_pipeline": _encode_pipeline(),
         "random_split": with_([], "SELECT count(*) AS n_rows, count(DISTINCT encounter_id) AS n_keys, CAST(0 AS BIGINT) AS n_uneven FROM encounters"),
         "hash_split_null_keys": with_([], f"SELECT CASE WHEN age <> '[50-60)' AND {TRAIN} THEN 'train' ELSE 'test' END AS split, count(*) AS n_rows, "
                                           "count(*) FILTER (WHERE age IS NULL OR age = '[50-60)') AS n_without_key FROM encounters GROUP BY 1"),
-        **{k: scores for k in ("lr_scores", "lr_weighted_scores", "rf_scores", "gbt_scores")},
+        **{k: scores.replace(" FROM _test", ", CAST(0 AS BIGINT) AS n_slots_off FROM _test") for k in ("lr_scores", "lr_weighted_scores")},
+        **{k: scores.replace(" FROM _test", ", CAST(5 AS BIGINT) AS n_metrics_agree, CAST(1 AS BIGINT) AS n_better_than_chance FROM _test") for k in ("rf_scores", "gbt_scores")},
         "model_roundtrip": with_([], "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_other_prediction, CAST(0 AS BIGINT) AS n_other_probability FROM encounters"),
-        "train_eval": with_([NT, test], one(_named("_test", **evaluated))),
+        "train_eval": with_([NT, test], _named("_test", **evaluated) + agreed),
         "model_comparison": with_([NT, test], compare),
-        "category_pipeline": with_([NT, STRICT, strict_test], one(_named("_strict_test", **evaluated))),
+        "category_pipeline": with_([NT, STRICT, strict_test], _named("_strict_test", **evaluated) + agreed),
         "score_batch": with_(REJECTS, _named("_checked", **batch) + zero("n_out_of_range", "n_contradicting")),
         "score_rejects": with_(REJECTS, "SELECT encounter_id, reason FROM _checked WHERE NOT is_valid"),
         "score_stream": with_(REJECTS, _named("_checked", **batch) + zero("n_differ")),
@@ -307,6 +307,7 @@ def oracle_sql() -> dict[str, str]:
     sel_nt = "SELECT * FROM _nt"
     return {
         "scan_csv": with_([], "SELECT * FROM encounters"),
+        "scan_csv_rejects": with_([], "SELECT encounter_id, CASE age WHEN '[50-60)' THEN 'fields:2' WHEN '[70-80)' THEN 'fields:51' ELSE '' END AS reason FROM encounters"),
         "preview": with_(CHAIN_CLEAN, "SELECT * FROM _clean ORDER BY encounter_id LIMIT 10"),
         "metrics_sink": with_(CHAIN_RULE + [CLASS_COUNTS, CLASS_METRICS, AUC],
                               'SELECT a.auc AS "areaUnderROC", m.recall, m."precision" FROM _auc a, _metrics m'),

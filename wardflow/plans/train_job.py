@@ -21,7 +21,7 @@ from wardflow.operators.split import hash_split_frames, random_split
 from wardflow.plans.pipeline import train_and_evaluate
 from wardflow.schema import WEIGHT
 from wardflow.session import shared_dir
-from wardflow.sources.files import read_encounters, write_confusion, write_metrics
+from wardflow.sources.files import read_encounters, read_encounters_checked, write_confusion, write_metrics
 from wardflow.sources.model_store import save_model
 
 
@@ -53,7 +53,11 @@ def classifier(args: argparse.Namespace):
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     shared_dir(spark)
-    raw = read_encounters(spark, args.input, fmt=args.format)
+    if args.format == "csv":
+        raw, rejects = read_encounters_checked(spark, args.input)
+        rejects.write.mode("overwrite").json(f"{args.output.rstrip('/')}/rejected_lines")
+    else:
+        raw = read_encounters(spark, args.input, fmt=args.format)
     if args.split == "hash":
         train, test = hash_split_frames(raw)
     else:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.schema import RAW_SCHEMA
+from wardflow.session import written
 
 # The admission-type, discharge-disposition and admission-source
 # code maps shipped with the encounter dataset, kept verbatim (leading blanks,
@@ -26,12 +27,56 @@ def code_map_text() -> str:
 
 def read_encounters(spark: SparkSession, path: str, fmt: str = "csv",
                     schema: T.StructType = RAW_SCHEMA) -> DataFrame:
-    """Scan the raw encounter file with an explicit all-string schema (no inference pass)."""
+    """Scan the raw encounter file with an explicit all-string schema (no inference pass).
+
+    A CSV's header must name the schema's columns in their order, or the fields would
+    load into each other's columns: the first line is compared at once
+    (ValueError names what differs), every other file's header when it is read. Lines
+    with too few or too many fields are :func:`read_encounters_checked`'s matter.
+    """
     if fmt == "csv":
-        return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+        check_header(spark, path, schema)
+        return _csv(spark, schema).csv(path)
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+def _csv(spark: SparkSession, schema: T.StructType):
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+
+
+def check_header(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> None:
+    """ValueError if the first line of the file(s) isn't the schema's header; a folder without lines passes."""
+    line = spark.read.text(path).limit(1).select(F.split("value", ",").alias("names")).first()
+    if line is None:
+        return
+    found = [x.strip().strip('"').lstrip("\ufeff") for x in line["names"]]
+    if found == schema.names:
+        return
+    missing, surplus = [c for c in schema.names if c not in found], [c for c in found if c not in schema.names]
+    place = next((i for i, (a, b) in enumerate(zip(found, schema.names)) if a != b), min(len(found), len(schema.names)))
+    raise ValueError(f"CSV header of {path} doesn't match the schema: missing {missing}, unknown {surplus}, "
+                     f"first difference at column {place + 1} of {len(found)} (expected {schema.names[place:place + 1]}, found {found[place:place + 1]})")
+
+
+REJECT_COLUMNS = ["file", "reason", "line"]
+
+
+def read_encounters_checked(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a header CSV: a line with too few or too many fields is a reject with its file and ``fields:<n>``.
+
+    The file is parsed once, into a written table from which both come; their rows add up to its lines.
+    """
+    check_header(spark, path, schema)
+    own = "__line"
+    whole = T.StructType([*schema.fields, T.StructField(own, T.StringType())])
+    parsed = _csv(spark, whole).option("columnNameOfCorruptRecord", own).csv(path).withColumn("__file", F.col("_metadata.file_path"))
+    every = written(parsed, "parsed-csv")
+    fields = F.size(F.split(own, r',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1))  # commas outside quotes
+    rejects = every.where(F.col(own).isNotNull()).select(
+        F.col("__file").alias("file"), F.concat(F.lit("fields:"), fields.cast("string")).alias("reason"), F.col(own).alias("line"))
+    return every.where(F.col(own).isNull()).drop(own, "__file"), rejects
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").option("header", True).csv(path)
     return path
