@@ -108,6 +108,19 @@ def test_sketch_bounds_the_difference():
         assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= len(np.setxor1d(s, t))
 
 
+def test_sketches_of_large_sets_fold():
+    rng = np.random.default_rng(6)
+    for size, other in ((900, 1100), (3000, 5000), (6000, 6000), (40_000, 50_000)):
+        s = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+        t = np.unique(np.concatenate([s[100:], rng.integers(0, 2**63, other - size + 50, dtype=np.uint64)]))
+        u = np.unique(rng.integers(0, 2**63, other, dtype=np.uint64))
+        x, y, z = J.sketch(s), J.sketch(t), J.sketch(u)
+        near, far = J._apart([x, x], [y, z])
+        assert near <= len(np.setxor1d(s, t)) and np.array_equal(J._bits([y], 8 * min(len(x), len(y))), J._bits([y[:len(y)]], 8 * min(len(x), len(y))))
+        if other <= J.MOST_SKETCH_BITS:
+            assert far > J.difference(len(s), len(u), 80)  # unrelated sets don't pass
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (103, 101), (104, 103), (200, 200)]
     got = {r["node"]: r["label"] for r in J.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -146,12 +159,12 @@ def test_no_pair_is_lost_if_no_family_can_do():
 def test_blocks_are_dealt_by_block(make_docs):
     """Not by signature: that would leave all blocks of a crowd to one task."""
     spark = make_docs([]).sparkSession
-    members = spark.createDataFrame([], "sig long, a long, own int, blocks int, size long, sketch binary")
+    crowds = spark.createDataFrame([], "a long, places array<struct<sig:long,own:int,blocks:int>>, size long, sketch binary")
     sets = spark.createDataFrame([], "cid long, body binary")
     labels = spark.createDataFrame([], "node long, label long")
     join = J.Join(make_docs([(1, "a b c", None)]), 3, 90, "doc_id", "text")
-    plan = join.crowded_links(members, labels, sets)._jdf.queryExecution().toString()
-    assert "hashpartitioning(sig" in plan and plan.count("REPARTITION_BY_COL") >= 1
+    plan = join.crowded_links(crowds, labels, sets)._jdf.queryExecution().toString()
+    assert "REPARTITION_BY_COL" in plan and "hashpartitioning(sig" in plan and "i#" in plan.split("hashpartitioning(sig", 1)[1][:40]
 
 
 def test_thousands_of_near_copies(make_docs, monkeypatch):

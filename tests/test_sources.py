@@ -1,0 +1,111 @@
+"""CSV headers and bad lines, versioned models, committed stream batches, code maps by either path."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from wardflow.operators import lookup
+from wardflow.plans import model_queries as MQ
+from wardflow.schema import KEY, RAW_COLUMNS
+from wardflow.sources import model_store
+from wardflow.sources.files import read_code_maps, read_encounters, read_encounters_checked, write_csv
+from wardflow.streaming import scoring
+
+
+def test_reordered_header_fails(spark, enc_small, tmp_path):
+    swapped = [*RAW_COLUMNS]
+    i, j = swapped.index("race"), swapped.index("gender")
+    swapped[i], swapped[j] = swapped[j], swapped[i]
+    path = write_csv(enc_small.limit(5).select(*[F.col(f"`{c}`") for c in swapped]), str(tmp_path / "swapped"))
+    with pytest.raises(ValueError, match="first difference at column 3"):
+        read_encounters(spark, path)
+    with pytest.raises(ValueError, match="missing"):
+        read_encounters(spark, write_csv(enc_small.limit(5).drop("race"), str(tmp_path / "without")))
+
+
+def test_bad_lines_are_rejects(spark, tmp_path):
+    good = ",".join(f'"a, {i}"' if i == 3 else f"v{i}" for i in range(50))
+    lines = [",".join(RAW_COLUMNS), good, "only,two", good + ",more", good]
+    (tmp_path / "x.csv").write_text("\n".join(lines) + "\n")
+    rows, rejects = read_encounters_checked(spark, str(tmp_path / "x.csv"))
+    assert rows.columns == RAW_COLUMNS and rows.count() == 2 and rows.first()[3] == "a, 3"
+    got = {(r["reason"], r["line"]) for r in rejects.collect()}
+    assert got == {("fields:2", "only,two"), ("fields:51", good + ",more")}
+    assert all(r["file"].endswith("x.csv") for r in rejects.collect())
+
+
+@pytest.fixture(scope="module")
+def small_model(spark, enc_small):
+    from wardflow.operators import models as M
+    from wardflow.operators.split import hash_split_frames
+    from wardflow.plans.pipeline import fit_scoring_model
+
+    return fit_scoring_model(hash_split_frames(enc_small)[0], M.forest(numTrees=2, maxDepth=2))
+
+
+def test_loading_while_a_save_is_under_way(spark, small_model, tmp_path, monkeypatch):
+    path = model_store.save_model(small_model, str(tmp_path / "model"))
+    assert len(model_store.load_model(path).stages) == len(small_model.stages)
+
+    class Broken:
+        def write(self):
+            return self
+
+        def save(self, at):
+            small_model.stages[0].write().save(f"{at}/stages/0")  # half of it is there
+            assert len(model_store.load_model(path).stages) == len(small_model.stages)
+            raise OSError("lost")
+
+    with pytest.raises(OSError):
+        model_store.save_model(Broken(), path)
+    assert model_store.published(path) == [1] and len(model_store.load_model(path).stages) == len(small_model.stages)
+    model_store.save_model(small_model, path)
+    assert model_store.published(path) == [1, 2]
+    small_model.write().save(str(tmp_path / "bare"))
+    assert len(model_store.load_model(str(tmp_path / "bare")).stages) == len(small_model.stages)
+
+
+def test_batch_killed_between_its_two_writes(spark, enc_small, small_model, tmp_path, monkeypatch):
+    recs, sink = MQ.faulty_records(enc_small.limit(400)), str(tmp_path / "sink")
+    recs = spark.read.parquet(scoring.land_records(recs, str(tmp_path / "in")))
+    real = scoring.rejects_path
+    monkeypatch.setattr(scoring, "rejects_path", lambda s: "nowhere://x")
+    with pytest.raises(Exception):  # noqa: B017
+        scoring.write_batch(recs, 0, small_model, sink)
+    monkeypatch.setattr(scoring, "rejects_path", real)
+    assert scoring.committed(spark, sink) == [] and scoring.read_scores(spark, sink).count() == scoring.read_rejects(spark, sink).count() == 0
+    scoring.write_batch(recs, 0, small_model, sink)
+    n = scoring.read_scores(spark, sink).count(), scoring.read_rejects(spark, sink).count()
+    assert sum(n) == recs.count() and n[1] > 0
+    scoring.write_batch(recs, 0, small_model, sink)  # run again after its commit
+    assert len(scoring.committed(spark, sink)) == 1 and scoring.read_scores(spark, sink).count() == n[0]
+
+
+def test_scoring_a_derived_table_is_one_scan(spark, enc_small, small_model):
+    """Filters stay on the written table: no condition holds the input's derivation."""
+    for side in MQ.score_batch(MQ.faulty_records(enc_small), small_model):
+        plan = side._jdf.queryExecution().optimizedPlan().toString()
+        assert len(plan) < 2000 and side._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_code_maps_by_either_path(spark, enc_small, monkeypatch):
+    maps = read_code_maps(spark)
+    constant = lookup.decode_ids(enc_small.limit(500), maps)
+    assert "Join" not in constant._jdf.queryExecution().executedPlan().toString()
+    names = [KEY, *[c for c in constant.columns if c.endswith("_description")]]
+    monkeypatch.setattr(lookup, "MOST_LITERALS", 3)
+    joined = lookup.decode_ids(enc_small.limit(500), maps)
+    assert sorted(map(str, constant.select(names).collect())) == sorted(map(str, joined.select(names).collect()))
+
+
+def test_constant_model_fails_the_figures(spark, enc_small, small_model):
+    from pyspark.ml.functions import array_to_vector
+
+    from wardflow.operators.split import hash_split_frames
+
+    train, test = hash_split_frames(enc_small)
+    flat = lambda p: array_to_vector(F.array(F.lit(1 - p), F.lit(p)))
+    one = lambda df, p: df.withColumns({"probability": flat(p), "rawPrediction": flat(p), "prediction": F.lit(0.0)})
+    scored = small_model.transform(test)
+    assert MQ.rank_figures(scored.select("label", "prediction", "rawPrediction")) == {"n_metrics_agree": 5, "n_better_than_chance": 1}
+    assert MQ.rank_figures(one(scored, 0.3).select("label", "prediction", "rawPrediction"))["n_better_than_chance"] == 0
+    assert MQ.slots_off(one(small_model.transform(train), 0.3)).first()["n_slots_off"] > 10
