@@ -18,8 +18,9 @@ if a linked partner can lie there.
 end there. Small groups of classes with equal signatures give pairs, crowded ones
 stay membership lists.
 
-*Verification.* A parity sketch of 1,024 bits bounds the difference of two sets
-from below, which drops most pairs without touching the sets. The rest is
+*Verification.* A parity sketch of as many bits as the set has n-grams (1,024 at least)
+bounds the difference of two sets from below, which drops most pairs without touching the
+sets; a longer sketch is folded to the length of a shorter one. The rest is
 compared exactly, in two rounds. First each class meets its nearest neighbour, and the
 classes of a crowd their centre: the one whose sketch is nearest to the bitwise majority of
 the crowd's sketches, which is where copies of one text come from. What then lies in
@@ -44,13 +45,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.llm.common import free_name, mix64, stage, table, then_give_back
 
 RATIO = 1.5  # of a size band's ends
-SKETCH_BITS = 1024
+SKETCH_BITS = 1024  # at least; large sets have more
+MOST_SKETCH_BITS = 1 << 15
 CROWD = 48  # classes with an equal signature that are paired at once
 BLOCK = 512  # classes of a crowded group compared with as many others in one task
 FLUSH = 500_000  # signatures a task gathers before it hands them on
@@ -121,10 +124,15 @@ def class_id(s: np.ndarray) -> int:
     return int(mix64(np.array([both + np.uint64(len(s))]))[0].view(np.int64))
 
 
+def sketch_bits(size: int) -> int:
+    return min(MOST_SKETCH_BITS, max(SKETCH_BITS, 1 << max(0, size - 1).bit_length()))
+
+
 def sketch(s: np.ndarray) -> bytes:
     """Parity sketch: an n-gram in one of two sets flips one bit, so differing bits are at most differing n-grams."""
-    at = (mix64(s ^ np.uint64(0x5EED)) >> np.uint64(54)).astype(np.int64)
-    return np.packbits(np.bincount(at, minlength=SKETCH_BITS).astype(np.uint8) & 1).tobytes()
+    bits = sketch_bits(len(s))
+    at = ((mix64(s ^ np.uint64(0x5EED)) >> np.uint64(20)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
 def signatures(s: np.ndarray, percent: int, plans: dict[int, tuple[int, int, int]]) -> np.ndarray:
@@ -274,9 +282,8 @@ class Join:
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                x, y = (_bits(batch.column(f"sketch_{c}").to_pylist()) for c in "ab")
                 m, k = (batch.column(f"size_{c}").to_numpy() for c in "ab")
-                d = np.bitwise_count(x ^ y).sum(axis=1).astype(np.int64)
+                d = _apart(*(batch.column(f"sketch_{c}").to_pylist() for c in "ab"))
                 ok = pa.array(d <= difference(m, k, percent))
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(d)], ["a", "b", "d"]).filter(ok)
 
@@ -308,13 +315,14 @@ class Join:
 
         return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(then_give_back(run), "a long, b long")
 
-    def around_centres(self, members: DataFrame) -> DataFrame:
-        """(a, b) of each crowd's classes with its centre, from its blocks' tallies of sketch bits."""
+    def around_centres(self, crowds: DataFrame) -> DataFrame:
+        """(a, b) of each class with the centre of the largest crowd it is in, from tallies of the crowds' sketch bits by block."""
+        each = _each(crowds, "a", "sketch")
+
         def tally(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-            bits = np.unpackbits(np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(table.num_rows, -1), axis=1)
-            counts = bits.sum(axis=0, dtype="<u4").tobytes()
-            return pa.table([pa.array([key[0].as_py()], pa.int64()), table.column("blocks").slice(0, 1), pa.array([table.num_rows], pa.int64()), pa.array([counts], pa.binary())],
-                            ["sig", "blocks", "n", "counts"])
+            bits = np.unpackbits(_bits(table.column("sketch").to_pylist()).view(np.uint8), axis=1)
+            return pa.table([pa.array([key[0].as_py()], pa.int64()), table.column("blocks").slice(0, 1), pa.array([table.num_rows], pa.int64()),
+                             pa.array([bits.sum(axis=0, dtype="<u4").tobytes()], pa.binary())], ["sig", "blocks", "n", "counts"])
 
         def majority(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n, counts, blocks = 0, np.zeros(SKETCH_BITS, np.int64), None
@@ -325,39 +333,63 @@ class Join:
             middle = np.packbits(2 * counts > n).tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), blocks, pa.array([middle], pa.binary())], ["sig", "blocks", "middle"])
 
-        def distance(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    x, y = (_bits(batch.column(c).to_pylist()) for c in ("sketch", "middle"))
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("sig"), batch.column("a"), pa.array(np.bitwise_count(x ^ y).sum(axis=1).astype(np.int64))], ["sig", "a", "d"])
-
-        tallies = members.repartition("sig", "own").groupBy("sig", "own").applyInArrow(tally, "sig long, blocks int, n long, counts binary")
-        middles = tallies.groupBy("sig").applyInArrow(majority, "sig long, blocks int, middle binary") \
+        def nearest(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            middle = [x for x in table.column("middle").to_pylist() if x is not None]
+            table = table.filter(pa.compute.is_valid(table.column("a")))
+            a = table.column("a").to_numpy()
+            d = np.bitwise_count(_bits(table.column("sketch").to_pylist()) ^ _bits(middle[:1])).sum(axis=1).astype(np.int64)
+            best = np.lexsort((a, d))[:1]
+            return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array(a[best]), pa.array(d[best])], ["sig", "a", "d"])
+
+        block = ["sig", "own"]
+        middles = each.repartition(*block).groupBy(*block).applyInArrow(tally, "sig long, blocks int, n long, counts binary") \
+            .groupBy("sig").applyInArrow(majority, "sig long, blocks int, middle binary") \
             .select("sig", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"), "middle")
-        centres = members.join(middles, ["sig", "own"]).select("sig", "a", "sketch", "middle").mapInArrow(distance, "sig long, a long, d long") \
+        both = each.select("sig", "own", "a", "sketch").unionByName(middles, allowMissingColumns=True)
+        centres = both.repartition(*block).groupBy(*block).applyInArrow(nearest, "sig long, a long, d long") \
             .groupBy("sig").agg(F.min(F.struct("d", "a"))["a"].alias("c"))
-        return members.select("sig", "a").join(centres, "sig").filter("a <> c").select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
+        largest = F.array_max(F.transform("places", lambda p: F.struct(p["blocks"], p["sig"])))["sig"]
+        return crowds.select("a", largest.alias("sig")).join(centres, "sig").filter("a <> c") \
+            .select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
 
-    def crowded_links(self, members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    def crowded_links(self, crowds: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
         """Links (a, b) between components of a crowd: of its classes outside the largest component with all others."""
         percent = self.percent
-        named = members.join(labels, F.col("a") == F.col("node"), "left").withColumn("label", F.coalesce("label", "a")).drop("node")
+        named = crowds.join(labels, F.col("a") == F.col("node"), "left").withColumn("label", F.coalesce("label", "a")).drop("node")
+        each = _each(named, "a", "size", "sketch", "label")
         # groups of one component have nothing left to compare
-        split = named.groupBy("sig", "label").count().groupBy("sig").agg(F.max(F.struct("count", "label")).alias("most"), F.sum("count").alias("n")) \
-            .filter("n > most.count").select("sig", F.col("most.label").alias("major"), F.ceil((F.col("n") - F.col("most.count")) / BLOCK).cast("int").alias("rows"))
-        apart = named.join(split, "sig").withColumn("minor", F.col("label") != F.col("major"))
-        numbers = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        split = each.groupBy("sig", "label").agg(F.count("*").alias("n"), F.max("blocks").alias("blocks")).groupBy("sig") \
+            .agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.max("blocks").alias("blocks")).filter("n > most.n") \
+            .select("sig", F.col("most.label").alias("major"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("rows"),
+                    F.col("blocks").alias("width"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"))
         keep = ["sig", "i", "j", "side", "a", "size", "sketch", "label", "minor"]
-        left = apart.filter("minor").withColumns({"i": F.pmod(F.xxhash64("a"), F.col("rows")).cast("int"), "side": F.lit(0)}).withColumn("j", numbers(F.col("blocks")))
-        right = apart.withColumns({"j": F.col("own"), "side": F.lit(1)}).withColumn("i", numbers(F.col("rows")))
         kind = "sig long, i int, j int, side int, a long, size long, sketch binary, label long, minor boolean"
 
+        def deal(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+            """A block's classes as rows and columns of the comparison, if the crowd is split."""
+            told = table.filter(pa.compute.is_valid(table.column("rows")))
+            table = table.filter(pa.compute.is_valid(table.column("a")))
+            if not told.num_rows:
+                return pa.table({c: pa.array([], t) for c, t in zip(keep, (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(),
+                                                                           pa.int64(), pa.bool_()), strict=True)})
+            rows, major, blocks = (int(told.column(c)[0].as_py()) for c in ("rows", "major", "width"))
+            minor = table.column("label").to_numpy() != major
+            mine = np.flatnonzero(minor)
+            n = table.num_rows
+            at = np.r_[np.repeat(mine, blocks), np.tile(np.arange(n), rows)]
+            i = np.r_[np.repeat((mix64(table.column("a").to_numpy()[mine].view(np.uint64)) % np.uint64(rows)).astype(np.int64), blocks), np.repeat(np.arange(rows), n)]
+            j = np.r_[np.tile(np.arange(blocks), len(mine)), np.full(n * rows, key[1].as_py())]
+            side = np.r_[np.zeros(len(mine) * blocks, np.int32), np.ones(n * rows, np.int32)]
+            picked = table.take(pa.array(at))
+            return pa.table([pa.array(np.full(len(at), key[0].as_py())), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(side),
+                             *(picked.column(c) for c in ("a", "size", "sketch", "label")), pa.array(minor[at])], keep)
+
         def feasible(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
             """(row on the left, rows on the right, distances) that neither component nor sketch rules out."""
             a, size, label, side = (table.column(c).to_numpy() for c in ("a", "size", "label", "side"))
             minor = np.array(table.column("minor"), bool)
-            bits = _bits(table.column("sketch").to_pylist())
+            sketches = table.column("sketch").to_pylist()
+            bits = _bits(sketches, 8 * min(map(len, sketches)))
             right = np.flatnonzero(side == 1)
             for x in np.flatnonzero(side == 0):
                 ys = right[(label[right] != label[x]) & (~minor[right] | (a[right] > a[x]))]
@@ -393,13 +425,20 @@ class Join:
                     found.append((min(a[x], a[y]), max(a[x], a[y])))
             return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-        # the join's dealing by signature would do for the grouping, and leave all blocks of a crowd in one task
-        block = ["sig", "i", "j"]
-        rows = left.select(keep).unionByName(right.select(keep)).repartition(*block).groupBy(*block).applyInArrow(undecided, kind)
-        whole = stage(rows, "undecided").join(sets, F.col("a") == F.col("cid")).drop("cid")
+        # each grouping follows a dealing of its own by all its keys: dealt by signature alone, all blocks of a crowd would be one task's
+        whose, block = ["sig", "own"], ["sig", "i", "j"]
+        both = each.drop("blocks").unionByName(split, allowMissingColumns=True)
+        rows = both.repartition(*whose).groupBy(*whose).applyInArrow(deal, kind)
+        left = rows.repartition(*block).groupBy(*block).applyInArrow(undecided, kind)
+        whole = stage(left, "undecided").join(sets, F.col("a") == F.col("cid")).drop("cid")
         return whole.repartition(*block).groupBy(*block).applyInArrow(verify, "a long, b long").distinct()
 
 
+def _each(crowds: DataFrame, *columns: str) -> DataFrame:
+    """One row for each crowd that a class is in."""
+    return crowds.select(*columns, F.explode("places").alias("p")).select("p.sig", "p.own", "p.blocks", *columns)
+
+
 def _grouped(fn):
     freed = then_give_back(fn)
 
@@ -408,8 +447,26 @@ def _grouped(fn):
     return run
 
 
-def _bits(sketches: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), SKETCH_BITS // 64)
+def _bits(sketches: list[bytes], bits: int = SKETCH_BITS) -> np.ndarray:
+    """The sketches folded to ``bits`` bits: n-grams of bits that fall together cancel out, as in a sketch of that length."""
+    out = np.zeros((len(sketches), bits // 64), np.uint64)
+    sizes = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    for size in np.unique(sizes):
+        mine = np.flatnonzero(sizes == size)
+        out[mine] = np.bitwise_xor.reduce(np.frombuffer(b"".join([sketches[i] for i in mine]), np.uint64).reshape(len(mine), -1, bits // 64), axis=1)
+    return out
+
+
+def _apart(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """Differing bits of each pair of sketches, at the length of the shorter."""
+    sizes = np.fromiter((min(len(a), len(b)) for a, b in zip(x, y, strict=True)), np.int64, len(x))
+    out = np.zeros(len(x), np.int64)
+    for size in np.unique(sizes):
+        mine = np.flatnonzero(sizes == size)
+        for i in range(0, len(mine), 2000):
+            some = mine[i:i + 2000]
+            out[some] = np.bitwise_count(_bits([x[j] for j in some], 8 * int(size)) ^ _bits([y[j] for j in some], 8 * int(size))).sum(axis=1)
+    return out
 
 
 def _linked(x: bytes, y: bytes, percent: int) -> bool:
@@ -455,21 +512,22 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
         (F.size(F.filter(edge, lambda low: low <= F.col("size"))) - 1).alias("band")).count().collect()}  # a row for each band
     plans = {b: plan(high, low, percent, per_band.get(b, 0)) for b, low, high in known}
     met = stage(join.shared_signatures(plans), "signatures")
-    members = stage(met.filter("b is null").select("sig", "a", "own", "blocks")
-                    .join(classes.select(F.col("cid").alias("a"), "size", "sketch"), "a"), "crowds")
-    around = stage(join.around_centres(members), "around")
+    # one row for each class, however many crowds it is in (no more than it has signatures)
+    crowds = stage(met.filter("b is null").groupBy("a").agg(F.collect_list(F.struct("sig", "own", "blocks")).alias("places"))
+                   .join(classes.select(F.col("cid").alias("a"), "size", "sketch"), "a"), "crowds")
+    around = stage(join.around_centres(crowds), "around")
     near = stage(join.near(met.filter("b is not null").select("a", "b").unionByName(around).distinct(), classes), "near")
     ends = near.select("a", "b", "d").unionAll(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
     nearest = ends.groupBy("a").agg(F.min(F.struct("d", "b"))["b"].alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     one = nearest.unionByName(near.join(around, ["a", "b"], "left_semi").select("a", "b")).distinct()
-    named = near.select(F.col("a").alias("cid")).unionAll(near.select(F.col("b").alias("cid"))).unionAll(members.select(F.col("a").alias("cid"))).distinct()
+    named = near.select(F.col("a").alias("cid")).unionAll(near.select(F.col("b").alias("cid"))).unionAll(crowds.select(F.col("a").alias("cid"))).distinct()
     sets = stage(join.sets_of(named, classes), "sets")
     first = stage(join.verified(one, sets), "links-1")
     labels = stage(components(first), "labels")
     far = labels.select(F.col("node").alias("a"), F.col("label").alias("la")), labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
     between = near.join(far[0], "a", "left").join(far[1], "b", "left") \
         .filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b").join(one, ["a", "b"], "left_anti")
-    second = join.verified(between, sets).unionByName(join.crowded_links(members, labels, sets))
+    second = join.verified(between, sets).unionByName(join.crowded_links(crowds, labels, sets))
     final = components(first.unionByName(second))
     named_by = final.join(classes.select(F.col("cid").alias("node"), "id"), "node").groupBy("label").agg(F.min("id").alias("component"))
     by_class = final.join(named_by, "label").select(F.col("node").alias("cid"), "component") \
