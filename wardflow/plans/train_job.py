@@ -4,7 +4,9 @@
 
 Writes ``out/model`` (PipelineModel), ``out/metrics`` (JSON: areaUnderROC,
 recall, precision, f1_positive, f1_weighted) and ``out/confusion_matrix``
-(CSV). The master and cluster settings come from the launcher.
+(CSV). With ``--tune`` the model's grid is searched first; its table goes to ``out/grid``
+(JSON) and finished fits to ``out/ledger``, from which a job that was lost goes on when it
+is started again. The master and cluster settings come from the launcher.
 
 On a cluster: ``spark-submit --py-files wardflow.zip wardflow/plans/train_job.py ...``.
 """
@@ -18,12 +20,14 @@ from pyspark.sql import SparkSession
 from wardflow.operators import models as M
 from wardflow.operators.evaluate import METRIC_NAMES, metrics_wide
 from wardflow.operators.split import hash_split_frames, random_split
-from wardflow.plans.pipeline import train_and_evaluate
+from wardflow.plans.pipeline import BOOSTED_GRID, FOREST_GRID, train_and_evaluate, tune_and_evaluate
 from wardflow.schema import WEIGHT
 from wardflow.session import shared_dir
 from wardflow.sources.files import read_encounters, read_encounters_checked, write_confusion, write_metrics
 from wardflow.sources.model_store import save_model
 
+GRIDS = {"forest": FOREST_GRID, "gbt": BOOSTED_GRID}
+
 
 def parse(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description="Train and evaluate the readmission model.")
@@ -39,7 +43,11 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--depth", type=int, default=5)
     p.add_argument("--split", default="hash", choices=["hash", "random"])
     p.add_argument("--seed", type=int, default=42)
-    return p.parse_args(argv)
+    p.add_argument("--tune", action="store_true", help="search the grid of forest or gbt by 3-fold cross-validation")
+    args = p.parse_args(argv)
+    if args.tune and args.model not in GRIDS:
+        p.error(f"--tune needs one of the models {sorted(GRIDS)}")
+    return args
 
 
 def classifier(args: argparse.Namespace):
@@ -62,10 +70,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
         train, test = hash_split_frames(raw)
     else:
         train, test = random_split(raw, seed=args.seed)
-    model, metrics, confusion = train_and_evaluate(train, test, classifier(args), name=args.model,
-                                                   strict=args.strict_labels, categories=args.categories)
     out = args.output.rstrip("/")
-    paths = {"model": save_model(model, f"{out}/model"),
+    flow = dict(name=args.model, strict=args.strict_labels, categories=args.categories)
+    paths = {}
+    if args.tune:
+        model, points, metrics, confusion = tune_and_evaluate(train, test, classifier(args), GRIDS[args.model], f"{out}/ledger", **flow)
+        points.coalesce(1).write.mode("overwrite").json(f"{out}/grid")  # a row for each point
+        paths["grid"] = f"{out}/grid"
+    else:
+        model, metrics, confusion = train_and_evaluate(train, test, classifier(args), **flow)
+    paths |= {"model": save_model(model, f"{out}/model"),
              "metrics": write_metrics(metrics_wide(metrics.drop("model"), METRIC_NAMES), f"{out}/metrics"),
              "confusion_matrix": write_confusion(confusion, f"{out}/confusion_matrix")}
     return paths
