@@ -124,3 +124,63 @@ def test_words_of_names_in_a_page_without_wrapper():
     page = f'<html><body><h1>Title</h1>{a}<h2 id="related-work">Related work</h2>{a}<p class="notice">Take notice.</p>%s</body></html>'
     want = "\n".join(["Title", *paragraphs(6, "the study"), "Related work", *paragraphs(6, "the study"), "Take notice."])
     assert H.main_text(page % "") == H.main_text(page % '<div id="comments"><p>A comment by a reader in some words.</p></div>') == want
+
+
+PROSE = "A reader wrote this with as many words as a paragraph of the article has, so that no ratio tells them apart from it, and then some more."
+
+
+def test_comments_adverts_and_notices_among_the_text():
+    text = paragraphs(6, "the study")
+    a = "".join(f"<p>{p}</p>" for p in text)
+    prose = f"<p>{PROSE}</p>" * 12  # more than the article
+    parts = [f'<section class="comments"><h2>Comments</h2>{prose}</section>', f'<div id="cookie-notice">{PROSE}</div>', f'<div class="advert">{PROSE}</div>',
+             f'<div class="box adBanner">{PROSE}</div>', f'<ol class="comment-list"><li class="comment">{prose}</li></ol>', f'<p class="advertisement">{PROSE}</p>',
+             f'<div class="newsletter-signup"><p>{PROSE}</p></div>', f'<section id="comments">{prose}</section>', f'<div class="post-footer">{PROSE}</div>']
+    for tag in ("article", "main", "div", "section"):
+        for part in parts:
+            assert H.main_text(AROUND % f"<{tag}><h1>Title</h1>{a}{part}{a}</{tag}>") == "\n".join(["Title", *text, *text]), (tag, part[:40])
+            assert H.main_text(AROUND % f"<{tag}><h1>Title</h1>{a}</{tag}>{part}") == "\n".join(["Title", *text]), (tag, part[:40])
+    thread = "".join(f'<article class="comment"><p>{PROSE}</p></article>' for _ in range(5))
+    assert H.main_text(AROUND % f"<article>{a}</article>{thread}") == H.main_text(AROUND % f"<article>{a}{thread}</article>") == "\n".join(text)
+
+
+def test_names_of_wrappers_and_of_other_things():
+    text = paragraphs(6, "the study")
+    a = "".join(f"<p>{p}</p>" for p in text)
+    for attrs in ('class="sidebar content"', 'class="right-sidebar"', 'id="ad-wrapper"', 'class="post comments-open"', 'id="cookies-and-privacy"', 'class="ad-free page"'):
+        assert H.main_text(f"<div {attrs}><h1>Title</h1>{a}</div>") == "\n".join(["Title", *text]), attrs
+        assert H.main_text(f"<div {attrs}><main>{a}</main><p>x</p></div>") == "\n".join(text), attrs
+    assert H.main_text(f'<div class="comments">{a}</div>') == "\n".join(text)  # all there is
+    assert H.main_text(AROUND % f'<article>{a}<h2 class="comments">Comments on the study</h2>{a}</article>') == "\n".join([*text, "Comments on the study", *text])
+
+
+def test_copyright_line_at_the_end():
+    text = paragraphs(6, "the study")
+    a = "".join(f"<p>{p}</p>" for p in text)
+    for line in ("Copyright 2024 Some House. All rights reserved.", "&copy; 2019 Some House", "(c) Some House, all rights reserved"):
+        assert H.main_text(f"<html><body><h1>Title</h1>{a}<div>{line}</div></body></html>") == "\n".join(["Title", *text])
+    assert H.main_text(f"<body>{a}<p>Copyright is a right of authors.</p></body>").endswith("Copyright is a right of authors.")
+    assert H.main_text("<p>Copyright 2024</p>") == "Copyright 2024"
+
+
+def test_many_open_elements():
+    import time
+    import tracemalloc
+
+    for start in ("<div>", '<div class="ad">', '<section id="comments">', "<article>", "<li><ul>"):
+        n = 50_000 if start == "<div>" else 10_000
+        page = "".join(f"{start}line {i} has some words" for i in range(n))
+        if start == "<div>":
+            tracemalloc.start()
+        began = time.process_time()
+        lines = H.main_text(page).split("\n")
+        assert time.process_time() - began < 20, start  # it was quadratic
+        if start == "<div>":
+            assert tracemalloc.get_traced_memory()[1] < 300 << 20 and lines == [f"line {i} has some words" for i in range(n)]
+            tracemalloc.stop()
+
+
+def test_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "<p>a b</p>", "x", "y")], "page_id long, html string, page string, __page string")
+    row = H.extract(pages).first()
+    assert row.asDict() == {"page_id": 1, "html": "<p>a b</p>", "page": "x", "__page": "y", "text": "a b", "n_chars": 3}
