@@ -86,3 +86,38 @@ def test_walk_is_in_order(shape):
     cells = list(books.walk(q))
     both = ((books.first @ q[:2])[:, None] + (books.second @ q[2:])[None]).ravel()
     assert sorted(cells) == list(range(len(both))) and np.all(np.diff(both[cells]) <= 1e-12)
+
+
+def test_products_of_visited_cells_only():
+    rng = np.random.default_rng(3)
+    x, q = rng.normal(size=(50, 6)).astype(np.float32), rng.normal(size=(9, 6)).astype(np.float32)
+    cell = np.sort(rng.integers(0, 12, 50))
+    visits = [sorted(rng.choice(14, rng.integers(0, 8), replace=False).tolist()) for _ in q]  # some of cells without entries
+    got = ann.visited_products(q, ann.pa.array(visits, ann.pa.list_(ann.pa.int32())), x, cell)
+    want = np.where(np.array([np.isin(cell, v) for v in visits]), q @ x.T, -np.inf)
+    assert np.allclose(got, want, atol=1e-5) and np.array_equal(np.isinf(got), np.isinf(want))
+
+
+def test_clustered_vectors_need_few_products_and_groups(spark, monkeypatch):
+    monkeypatch.setattr(ann, "GROUP", 128)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(60, 16)) * 3
+    rows = [(i, [float(np.float32(y)) for y in centres[i % 60] + 0.2 * rng.normal(size=16)]) for i in range(4000)]
+    seen, measure = [], ann.measured_depth
+
+    def spy(asked, index, books, *rest):
+        books.depth = measure(asked, index, books, *rest)
+        seen.append(books)
+        return books.depth
+
+    monkeypatch.setattr(ann, "measured_depth", spy)
+    got = {}
+    for r in ann.search(frame(spark, rows)).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = by_hand(rows)
+    assert sum(len(got[q] & {v for _, v in f}) for q, f in want.items()) / (20 * len(want)) >= 0.9
+    books = seen[0]
+    cells = [books.visited(np.array(v)) for i, v in rows if i % 20 == 0]
+    assert books.counts.sum() == 4000
+    assert sum(books.counts[c].sum() for c in cells) < 0.25 * len(cells) * 4000
+    assert sum(len(set(books.group[c].tolist())) for c in cells) < 0.5 * len(cells) * len(set(books.group[books.counts > 0].tolist()))

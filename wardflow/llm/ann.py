@@ -10,9 +10,11 @@ exhaustively, and the depth taken reaches the share ``recall`` of their true
 neighbours.
 
 Equal vectors are one entry that keeps its smallest ``k + 1`` ids (more can't be
-in a result), and equal query vectors are searched once. Cells are dealt out in
-groups; groups with many entries or many visiting queries are split both ways,
-so no task holds an unbounded group.
+in a result), and equal query vectors are searched once. Neighbouring cells (of one
+centroid of the first half, then the next) are dealt out in groups of about ``GROUP``
+entries, so a query meets few groups; there, entries lie in order of their cells and a
+query is multiplied with the cells it visits only. Groups with many entries or many
+visiting queries are split both ways, so no task holds an unbounded group.
 
 Defined results: vectors that are null, zero, of another length than most, or
 hold a null or non-finite component take no part; neither do null ids. Rows that
@@ -36,9 +38,10 @@ from wardflow.llm.common import stage, table
 
 SAMPLE = 20_000  # vectors that fit the codebooks, at most about
 TRIAL = 200  # queries that measure the depth, at most
-MOST_CENTROIDS = 256
+MOST_CENTROIDS = 1024  # of a half; below, they grow with the root of the number of vectors
 GROUP = 4096  # entries a task holds, about
 VISITORS = 20_000  # queries a task holds, about
+BATCH = 1024  # queries multiplied at once
 VISITS = 500  # queries that a task walks the cells for, about
 
 
@@ -63,6 +66,7 @@ class Codebooks:
     first: np.ndarray
     second: np.ndarray
     counts: np.ndarray | None = None  # entries by cell
+    group: np.ndarray | None = None  # by cell
     depth: int = 0
 
     @property
@@ -123,6 +127,22 @@ def _best(scores: np.ndarray, k: int) -> np.ndarray:
         else np.flatnonzero(scores > -np.inf)
 
 
+def visited_products(q: np.ndarray, cells: pa.ListArray, x: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Inner products of queries with the entries of the cells each visits, -inf elsewhere; ``x`` is in order of ``cell``."""
+    out = np.full((len(q), len(x)), -np.inf, np.float32)
+    wanted = cells.flatten().to_numpy()
+    who = np.repeat(np.arange(len(q)), cells.value_lengths().to_numpy())
+    order = np.argsort(wanted, kind="stable")
+    wanted, who = wanted[order], who[order]
+    known, start = np.unique(cell, return_index=True)
+    end = np.append(start[1:], len(cell))
+    left, right = np.searchsorted(wanted, known, "left"), np.searchsorted(wanted, known, "right")
+    for a, b, i, j in zip(start.tolist(), end.tolist(), left.tolist(), right.tolist(), strict=True):
+        if i < j:  # the cell's entries by the queries that visit it
+            out[who[i:j], a:b] = q[who[i:j]] @ x[a:b].T
+    return out
+
+
 def search(rows: DataFrame, k: int = 20, every: int = 20, recall: float = 0.95, id_col: str = "vec_id",
            vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of the queries, rows whose id is divisible by ``every``, against all rows."""
@@ -157,13 +177,17 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, recall: float = 0.95,
 
     index = stage(entries.mapInArrow(assign, "vec array<float>, ids array<long>, cell int"), "index")
     books.counts = np.zeros(len(books.first) * len(books.second), np.int64)
-    for r in index.groupBy("cell").count().collect():  # at most MOST_CENTROIDS ** 2 rows
-        books.counts[r["cell"]] = r["count"]
+    filled = index.groupBy("cell").count().toArrow()  # at most MOST_CENTROIDS ** 2 rows of 12 bytes
+    books.counts[filled.column("cell").to_numpy()] = filled.column("count").to_numpy()
+    books.group = ((np.cumsum(books.counts) - books.counts) // GROUP).astype(np.int32)
     queries = good.filter(F.col("id") % every == 0).dropDuplicates(["id", "vec"])
     asked = stage(queries.groupBy("vec").agg(F.min("id").alias("rep")), "queries")
     books.depth = measured_depth(asked, index, books, keep, recall)
     ready = spark.sparkContext.broadcast(books)
-    groups = max(1, min(len(books.counts), -(-total // GROUP)))
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("g", pa.array(ready.value.group[batch.column("cell").to_numpy()], pa.int32()))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,9 +195,11 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, recall: float = 0.95,
                 some = batch.slice(at, 200)
                 rows = []
                 for rep, vec in zip(some.column("rep").to_pylist(), matrix(some.column("vec")), strict=True):
-                    cells = np.array(ready.value.visited(vec.astype(np.float64)), np.int32)
-                    for g in np.unique(cells % groups):
-                        rows.append((g, rep, vec, cells[cells % groups == g]))
+                    cells = np.sort(np.array(ready.value.visited(vec.astype(np.float64)), np.int32))
+                    of = ready.value.group[cells]  # ascending, as the cells are
+                    for mine in np.split(cells, np.flatnonzero(np.diff(of)) + 1):
+                        if len(mine):
+                            rows.append((ready.value.group[mine[0]], rep, vec, mine))
                 if rows:
                     g, rep, vec, cells = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays(
@@ -183,7 +209,7 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, recall: float = 0.95,
     # few and small rows with much to do each: dealt to tasks by their number, not their bytes
     dealt = asked.repartition(max(1, -(-asked.count() // VISITS)), "rep")
     probes = stage(dealt.mapInArrow(visit, "g int, rep long, vec array<float>, cells array<int>"), "probes")
-    entries_of = index.withColumn("g", F.pmod("cell", F.lit(groups)))
+    entries_of = index.mapInArrow(grouped, "vec array<float>, ids array<long>, cell int, g int")
     split = entries_of.groupBy("g").agg(F.ceil(F.count("*") / (2 * GROUP)).cast("int").alias("es")) \
         .join(probes.groupBy("g").agg(F.ceil(F.count("*") / VISITORS).cast("int").alias("qs")), "g")
     left = entries_of.join(split, "g").withColumn("e", F.pmod(F.xxhash64("vec"), F.col("es")).cast("int")) \
@@ -194,18 +220,16 @@ def search(rows: DataFrame, k: int = 20, every: int = 20, recall: float = 0.95,
     def rerank(key: tuple[pa.Scalar, ...], entries: pa.Table, probes: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if entries.num_rows and probes.num_rows:
+            entries = entries.sort_by("cell")
             x = matrix(entries.column("vec").combine_chunks())
             ids = entries.column("ids").to_pylist()
-            known, cell = np.unique(entries.column("cell").to_numpy(), return_inverse=True)
             exact = x.astype(np.float64)
-            for at in range(0, probes.num_rows, 256):
-                some = probes.slice(at, 256)
+            for at in range(0, probes.num_rows, BATCH):
+                some = probes.slice(at, BATCH)
                 q = matrix(some.column("vec").combine_chunks())
-                scores = q @ x.T
-                for row, rep, mine in zip(range(len(q)), some.column("rep").to_pylist(), some.column("cells").to_pylist(), strict=True):
-                    open_ = np.isin(known, mine)
-                    masked = np.where(open_[cell], scores[row], -np.inf)
-                    best = _best(masked, keep)
+                scores = visited_products(q, some.column("cells").combine_chunks(), x, entries.column("cell").to_numpy())
+                for row, rep in enumerate(some.column("rep").to_pylist()):
+                    best = _best(scores[row], keep)
                     value = (exact[best] * q[row].astype(np.float64)).sum(axis=1)
                     found = np.array([i for b in best for i in ids[b]], np.int64)
                     value = np.repeat(value, [len(ids[b]) for b in best])
