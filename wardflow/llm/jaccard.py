@@ -57,6 +57,8 @@ MOST_SKETCH_BITS = 1 << 15
 CROWD = 48  # classes with an equal signature that are paired at once
 BLOCK = 512  # classes of a crowded group compared with as many others in one task
 FLUSH = 500_000  # signatures a task gathers before it hands them on
+SIG_BYTES = 5  # of a signature that travel to its bucket
+FILTER_BITS = 1 << 26  # at most, of the filter that spares rows the shuffle
 ROUNDS = 60
 MET = ["sig", "a", "b", "own", "blocks"]
 
@@ -213,12 +215,12 @@ class Join:
                 rows = []
                 for b in range(buckets):
                     mine = order[cuts[b]:cuts[b + 1]]
-                    if len(mine):
-                        own, at = np.unique(cid[mine], return_inverse=True)
-                        rows.append((b, sig[mine].tobytes(), at.astype("<u4").tobytes(), own.tobytes()))
+                    if len(mine):  # a class's signatures stand together: its id once, with their number
+                        heads = np.flatnonzero(np.r_[True, cid[mine][1:] != cid[mine][:-1]])
+                        rows.append((b, _short(sig[mine]), np.diff(np.r_[heads, len(mine)]).astype("<u4").tobytes(), cid[mine][heads].tobytes()))
                 b, x, y, z = zip(*rows, strict=True)
                 return pa.RecordBatch.from_arrays(
-                    [pa.array(b, pa.int32()), *(pa.array(c, pa.binary()) for c in (x, y, z))], ["bucket", "sig", "at", "cid"])
+                    [pa.array(b, pa.int32()), *(pa.array(c, pa.binary()) for c in (x, y, z))], ["bucket", "sig", "count", "cid"])
 
             for batch in batches:
                 for text in batch.column(0).cast(pa.binary()).to_pylist():
@@ -237,12 +239,12 @@ class Join:
             if size:
                 yield flush()
 
-        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def meet(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sig, cid = [], []
             for batch in batches:
-                for x, y, z in zip(*(batch.column(c).to_pylist() for c in ("sig", "at", "cid")), strict=True):
-                    sig.append(np.frombuffer(x, np.uint64))
-                    cid.append(np.frombuffer(z, np.int64)[np.frombuffer(y, "<u4")])
+                for x, y, z in zip(*(batch.column(c).to_pylist() for c in ("sig", "count", "cid")), strict=True):
+                    sig.append(_long(x))
+                    cid.append(np.repeat(np.frombuffer(z, np.int64), np.frombuffer(y, "<u4")))
             sig, cid = np.concatenate(sig), np.concatenate(cid)
             order = np.lexsort((cid, sig))
             sig, cid = sig[order], cid[order]
@@ -253,8 +255,9 @@ class Join:
             crowd = np.repeat(count > CROWD, count)
             if crowd.any():
                 place = np.arange(len(sig)) - np.repeat(starts, count)
+                named = sig[crowd] * np.uint64(buckets) + np.uint64(key[0].as_py())  # of one bucket only
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig[crowd].view(np.int64)), pa.array(cid[crowd]), pa.nulls(int(crowd.sum()), pa.int64()),
+                    [pa.array(named.view(np.int64)), pa.array(cid[crowd]), pa.nulls(int(crowd.sum()), pa.int64()),
                      pa.array((place[crowd] // BLOCK).astype(np.int32)), pa.array(np.repeat(-(-count // BLOCK), count)[crowd].astype(np.int32))], MET)
             for length in np.unique(count[(count > 1) & (count <= CROWD)]):
                 first, second = np.triu_indices(int(length), 1)
@@ -270,7 +273,7 @@ class Join:
                     yield pa.RecordBatch.from_arrays(
                         [pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int32())], MET)
 
-        packed = self.docs.select("text").mapInArrow(then_give_back(sign), "bucket int, sig binary, at binary, cid binary")
+        packed = self.docs.select("text").mapInArrow(then_give_back(sign), "bucket int, sig binary, count binary, cid binary")
         return packed.groupBy("bucket").applyInArrow(_grouped(meet), "sig long, a long, b long, own int, blocks int")
 
     def near(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -440,13 +443,25 @@ def _each(crowds: DataFrame, *columns: str) -> DataFrame:
 
 
 def _grouped(fn):
+    """``then_give_back`` for a grouped function, whose two arguments applyInArrow looks for."""
     freed = then_give_back(fn)
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return freed(batches)
+        return freed(key, batches)
     return run
 
 
+def _short(sig: np.ndarray) -> bytes:
+    """The upper ``SIG_BYTES`` of each signature: in a bucket a few chance agreements more, which the sketches tell apart."""
+    return np.ascontiguousarray((sig >> np.uint64(64 - 8 * SIG_BYTES)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SIG_BYTES]).tobytes()
+
+
+def _long(body: bytes) -> np.ndarray:
+    out = np.zeros((len(body) // SIG_BYTES, 8), np.uint8)
+    out[:, :SIG_BYTES] = np.frombuffer(body, np.uint8).reshape(-1, SIG_BYTES)
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
 def _bits(sketches: list[bytes], bits: int = SKETCH_BITS) -> np.ndarray:
     """The sketches folded to ``bits`` bits: n-grams of bits that fall together cancel out, as in a sketch of that length."""
     out = np.zeros((len(sketches), bits // 64), np.uint64)
@@ -542,8 +557,38 @@ def keep_one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     # an id alone may stand in several rows
     keyed = docs.withColumn(own, F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("h")))
     found = jaccard_components(keyed.select(own, text_col), n, percent, own, text_col)
-    stay = found.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias(own)).distinct()
-    return keyed.join(stay, own, "left_semi").dropDuplicates([own]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    goes = ~F.col("id").eqNullSafe(F.col("c"))
+    doubtful = stage(found.groupBy("id").agg(F.count("*").alias("n"), F.min("component_id").alias("c"))
+                     .select("id", goes.alias("goes"), "n").filter("goes or n > 1").select("id", "goes"), "doubtful")
+    # few rows go or repeat: only what the filter can't clear is shuffled with its text
+    may_go = _filter_of(doubtful.select(F.xxhash64("id.id", "id.h").alias("key")))(F.xxhash64(f"{own}.id", f"{own}.h"))
+    gone = doubtful.filter("goes").select(F.col("id").alias(own))
+    doubted = keyed.filter(may_go).join(gone, own, "left_anti").dropDuplicates([own])
+    return keyed.filter(~may_go).unionByName(doubted).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _filter_of(keys: DataFrame):
+    """A test of a 64-bit key that is true for all of ``keys`` and few others: a Bloom filter with two bits a key.
+
+    It has 16 bits a key, up to ``FILTER_BITS``; beyond that it clears fewer keys, and a caller's exact join decides more.
+    """
+    bits = min(FILTER_BITS, max(1 << 10, 1 << (16 * keys.count()).bit_length()))
+    low, high = F.col("key").bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned("key", 32).bitwiseAND(F.lit(bits - 1))
+    words = keys.select(F.explode(F.array(low, high)).alias("at")) \
+        .groupBy(F.shiftright("at", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 31 as int))")).alias("mask")).toArrow()
+    table = np.zeros(bits // 32, np.uint32)
+    table[words.column("word").to_numpy()] = words.column("mask").to_numpy().astype(np.uint32)
+    sent = keys.sparkSession.sparkContext.broadcast(table)
+
+    @F.arrow_udf("boolean")
+    def holds(key: pa.Array) -> pa.Array:
+        table, key = sent.value, key.to_numpy(zero_copy_only=False).view(np.uint64)
+        out = np.ones(len(key), bool)
+        for at in (key & np.uint64(bits - 1), (key >> np.uint64(32)) & np.uint64(bits - 1)):
+            out &= (table[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1
+        return pa.array(out)
+
+    return holds
 
 
 def op10_jaccard_join(spark, sf_dir: str) -> DataFrame:
