@@ -78,7 +78,7 @@ def test_ids_nulls_repeats_and_empty_table(make_docs):
 
 
 def test_signatures_meet_for_all_linked_sets():
-    """Pairs at the very edge of the similarity share a signature, for all sizes and both allocations."""
+    """Pairs at the very edge of the similarity share as many signatures as ``shared_signatures`` asks for, for all sizes and both allocations."""
     rng = np.random.default_rng(1)
     for percent in (80, 90):
         for classes in (10, 10**7):
@@ -91,7 +91,27 @@ def test_signatures_meet_for_all_linked_sets():
                 t = np.unique(np.concatenate([s[drop:], rng.integers(0, 2**63, add, dtype=np.uint64)]))
                 both = len(np.intersect1d(s, t))
                 if len(t) and 100 * both >= percent * (len(s) + len(t) - both):
-                    assert len(np.intersect1d(J.signatures(s, percent, plans), J.signatures(t, percent, plans)))
+                    assert weight(J.signatures(s, percent, plans), J.signatures(t, percent, plans)) >= J.AGREE
+
+
+def weight(x, y):
+    """What a pair's common signatures count for, as they travel: shortened."""
+    both = np.intersect1d(J._long(J._short(x)), J._long(J._short(y)))
+    return int(np.where(both & (J.SINGLE >> np.uint64(64 - 8 * J.SIG_BYTES)), J.AGREE, 1).sum())
+
+
+def test_two_segments_agree_at_the_edge():
+    """Sets with the fewest common n-grams that link them, whatever segments the others fall in."""
+    rng = np.random.default_rng(7)
+    for percent, size in ((80, 130), (80, 650), (90, 60), (90, 300)):
+        plans = {b: J.plan(high, low, percent, 10) for b, low, high in J.bands(2 * size)}
+        for _ in range(60):
+            s = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+            smaller = -(-percent * size // 100)
+            for t in (s[:smaller], np.unique(np.concatenate([s[:(both := -(-percent * 2 * size // (100 + percent)))],
+                                                             rng.integers(0, 1 << 63, size - both).astype(np.uint64)]))):
+                one, other = J.signatures(s, percent, plans), J.signatures(t, percent, plans)
+                assert not np.any(one & J.SINGLE) and weight(one, other) >= J.AGREE
 
 
 def test_plan_uses_both_allocations():
@@ -137,7 +157,7 @@ def test_sets_that_are_deficient_in_all_families_meet():
                 both = -(-percent * 2 * size // (100 + percent))  # the fewest that link two sets of this size
                 t = np.unique(np.concatenate([s[:both], rng.integers(0, 1 << 63, size - both).astype(np.uint64)]))
                 if 100 * both >= percent * (len(s) + len(t) - both):
-                    assert len(np.intersect1d(J.signatures(s, percent, plans), J.signatures(t, percent, plans))), (percent, size)
+                    assert weight(J.signatures(s, percent, plans), J.signatures(t, percent, plans)) >= J.AGREE, (percent, size)
 
 
 def test_parameters_in_use_need_no_single_grams():
@@ -146,14 +166,14 @@ def test_parameters_in_use_need_no_single_grams():
         plans = {b: J.plan(high, low, percent, 1000) for b, low, high in J.bands(400)}
         for size in (1, 7, 40, 200, 400):
             s = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
-            single = {int(x) for b, _, _ in J.band_list(len(s)) for x in J.mix64(s ^ np.uint64((2 * b + 2) * 0xD6E8FEB86659FD93 % (1 << 64)))}
+            single = {int(x) for b, _, _ in J.band_list(len(s)) for x in J.mix64(s ^ np.uint64((2 * b + 2) * 0xD6E8FEB86659FD93 % (1 << 64))) | J.SINGLE}
             assert single.isdisjoint(map(int, J.signatures(s, percent, plans)))
 
 
 def test_no_pair_is_lost_if_no_family_can_do():
     s = np.arange(1, 11).astype(np.uint64)
     plans = {b: (5, 1, 0) for b, _, _ in J.bands(40)}  # one segment, where six would be needed
-    assert len(np.intersect1d(J.signatures(s, 50, plans), J.signatures(s[:-3], 50, plans)))
+    assert weight(J.signatures(s, 50, plans), J.signatures(s[:-3], 50, plans)) >= J.AGREE
 
 
 def test_blocks_are_dealt_by_block(make_docs):

@@ -8,7 +8,9 @@ at most ``H`` n-grams. The universe is dealt into ``m`` segments by a hash; a
 segment is allocated 0 (its content must agree) or 1 (it may differ by one
 n-gram, so its one-deletion neighbourhood is indexed too). If the allocations of
 the non-empty segments, plus one each, add up to more than ``H``, some segment of
-a linked pair must agree within its allocation. ``plan`` picks the cheapest
+a linked pair must agree within its allocation. Where all are allocated 0 there is
+a segment more than that takes, so two must agree: a pair with one agreement
+only is dropped before any sketch travels. ``plan`` picks the cheapest
 allocation for a band from its number of classes. A set whose non-empty segments
 don't add up also takes part in the next of a family of partitions; as one
 non-deficient side is enough, no pair is lost. A class also signs in a lower band
@@ -57,10 +59,14 @@ MOST_SKETCH_BITS = 1 << 15
 CROWD = 48  # classes with an equal signature that are paired at once
 BLOCK = 512  # classes of a crowded group compared with as many others in one task
 FLUSH = 500_000  # signatures a task gathers before it hands them on
+CANDIDATE = 2  # bytes of a chance agreement, two ids written and shuffled, by those of a signature with its share of an id
+AGREE = 2  # segments that have to agree where none may differ
+LOW = 40  # n-grams of the sets for which that holds
+SINGLE = np.uint64(1 << 24)  # the lowest bit that travels: set in a signature of which one is enough
 SIG_BYTES = 5  # of a signature that travel to its bucket
 FILTER_BITS = 1 << 26  # at most, of the filter that spares rows the shuffle
 ROUNDS = 60
-MET = ["sig", "a", "b", "own", "blocks"]
+MET = ["sig", "a", "b", "own", "blocks", "weight"]
 
 
 def bands(most: int) -> Iterator[tuple[int, int, int]]:
@@ -76,21 +82,27 @@ def difference(size_a, size_b, percent: int):
     return ((100 - percent) * (size_a + size_b)) // (100 + percent)
 
 
-def plan(high: int, low: int, percent: int, classes: int, shared: float = 0.05) -> tuple[int, int, int]:
+def needed(h: int, low: int, ones: int) -> int:
+    """What a set's allocations, plus one each, have to add up to: so many that ``AGREE`` segments agree if all are allocated 0 (one in short sets)."""
+    return h + (AGREE if not ones and low >= LOW else 1)
+
+
+def plan(high: int, low: int, percent: int, classes: int, shared: float = 0.02) -> tuple[int, int, int]:
     """(H, segments allocated 0, segments allocated 1) of a band, by least cost for a class of mean size.
 
-    Cost: signatures written, plus chance candidates: with ``shared`` as the probability that an unrelated class has
-    an n-gram, segments of ``g`` n-grams agree by chance in ``classes * shared ** g`` cases.
+    Cost: signatures written, plus chance candidates, each as much as ``CANDIDATE`` signatures: with ``shared`` as the
+    probability that an unrelated class has an n-gram, segments of ``g`` n-grams agree by chance in ``classes * shared ** g`` cases.
     """
     h = difference(high, (100 * high) // percent, percent)
     size = (low + high) / 2
     best = None
     for ones in sorted({0, 1, (h + 1) // 4, (h + 1) // 2, (h + 2) // 2}):
-        zeros = max(0, h + 1 - 2 * ones)
+        least = needed(h, low, ones)
+        zeros = max(0, least - 2 * ones)
         while True:  # room for empty segments at the band's low end
             m = zeros + ones
             used = m * (1 - (1 - 1 / m) ** low) if m > 1 else float(m)
-            if used * (zeros + 2 * ones) / m >= h + 1 - 1e-9 or m >= 4 * (h + 1) or m >= 2 * low + 2:
+            if used * (zeros + 2 * ones) / m >= least - 1e-9 or m >= 4 * (h + 1) or m >= 2 * low + 2:
                 break
             if ones and not zeros:
                 ones += 1
@@ -99,8 +111,9 @@ def plan(high: int, low: int, percent: int, classes: int, shared: float = 0.05)
         g = size / m
         signatures = zeros + ones * (1 + g)
         chance = classes * (zeros * shared ** g + ones * (1 + g) * shared ** max(g - 1, 0))
-        if best is None or signatures + chance < best[0]:
-            best = (signatures + chance, h, zeros, ones)
+        cost = signatures + CANDIDATE * chance
+        if best is None or cost < best[0]:
+            best = (cost, h, zeros, ones)
     return best[1:]
 
 
@@ -145,7 +158,7 @@ def signatures(s: np.ndarray, percent: int, plans: dict[int, tuple[int, int, int
             if high * 100 < percent * size:
                 continue  # no partner of this size there
             h, zeros, ones = plans[band]
-            m = zeros + ones
+            m, least, first = zeros + ones, needed(h, low, ones), len(out)
             for family in range(64):
                 salt = np.uint64((band * 64 + family) * 2 + 1) * np.uint64(0xD6E8FEB86659FD93)
                 g = mix64(s ^ salt)
@@ -162,10 +175,15 @@ def signatures(s: np.ndarray, percent: int, plans: dict[int, tuple[int, int, int
                     mine = np.repeat(loose, count)
                     less = np.repeat(total, count)[mine] - body[mine]
                     out.append(mix64(less ^ (seg[mine].astype(np.uint64) * np.uint64(0xA0761D6478BD642F) + salt)))
-                if len(used) + int(loose.sum()) >= h + 1:
-                    break  # not deficient: one linked partner in this family is sure to be met
+                if len(used) + int(loose.sum()) >= least:
+                    alone = len(out)
+                    break  # not deficient: a linked partner in this family is sure to be met
             else:  # deficient in all: two such sets meet by an n-gram they share
+                alone = len(out)
                 out.append(mix64(s ^ np.uint64(2 * band + 2) * np.uint64(0xD6E8FEB86659FD93)))
+            if least == h + 1:
+                alone = first
+            out[first:] = [x & ~SINGLE if i < alone else x | SINGLE for i, x in enumerate(out[first:], first)]
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
@@ -199,7 +217,10 @@ class Join:
         return self.docs.mapInArrow(then_give_back(run), f"id {kind}, size long, cid long, sketch binary")
 
     def shared_signatures(self, plans: dict[int, tuple[int, int, int]]) -> DataFrame:
-        """(a, b) of classes that share a signature; where a crowd does, (sig, a) with a's block and the crowd's number of blocks."""
+        """(a, b, weight) of classes that share signatures; where a crowd does, (sig, a) with a's block and the crowd's number of blocks.
+
+        A pair's weights add up to ``AGREE`` at least if it may be linked and shares no crowd.
+        """
         # a partition's texts have more signatures than words to spare: several buckets for each, so that one fits a task
         n, percent, buckets = self.n, self.percent, 4 * self.parts
 
@@ -240,7 +261,7 @@ class Join:
                 yield flush()
 
         def meet(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sig, cid = [], []
+            sig, cid, single = [], [], SINGLE >> np.uint64(64 - 8 * SIG_BYTES)
             for batch in batches:
                 for x, y, z in zip(*(batch.column(c).to_pylist() for c in ("sig", "count", "cid")), strict=True):
                     sig.append(_long(x))
@@ -258,7 +279,8 @@ class Join:
                 named = sig[crowd] * np.uint64(buckets) + np.uint64(key[0].as_py())  # of one bucket only
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(named.view(np.int64)), pa.array(cid[crowd]), pa.nulls(int(crowd.sum()), pa.int64()),
-                     pa.array((place[crowd] // BLOCK).astype(np.int32)), pa.array(np.repeat(-(-count // BLOCK), count)[crowd].astype(np.int32))], MET)
+                     pa.array((place[crowd] // BLOCK).astype(np.int32)), pa.array(np.repeat(-(-count // BLOCK), count)[crowd].astype(np.int32)),
+                     pa.nulls(int(crowd.sum()), pa.int32())], MET)
             for length in np.unique(count[(count > 1) & (count <= CROWD)]):
                 first, second = np.triu_indices(int(length), 1)
                 heads = starts[count == length]
@@ -266,15 +288,18 @@ class Join:
                 for i in range(0, len(heads), step):
                     a = cid[(heads[i:i + step, None] + first).ravel()]
                     b = cid[(heads[i:i + step, None] + second).ravel()]
+                    weight = np.repeat(np.where(sig[heads[i:i + step]] & single, AGREE, 1), len(first))
                     order = np.lexsort((b, a))
                     a, b = a[order], b[order]
-                    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]
+                    new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+                    weight = np.minimum(np.add.reduceat(weight[order], new), AGREE).astype(np.int32)
                     a, b = a[new], b[new]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int32())], MET)
+                        [pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int32()),
+                         pa.array(weight)], MET)
 
         packed = self.docs.select("text").mapInArrow(then_give_back(sign), "bucket int, sig binary, count binary, cid binary")
-        return packed.groupBy("bucket").applyInArrow(_grouped(meet), "sig long, a long, b long, own int, blocks int")
+        return packed.groupBy("bucket").applyInArrow(_grouped(meet), "sig long, a long, b long, own int, blocks int, weight int")
 
     def near(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """Those (a, b) that sizes and sketches don't rule out, with the sketches' distance."""
@@ -531,7 +556,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     crowds = stage(met.filter("b is null").groupBy("a").agg(F.collect_list(F.struct("sig", "own", "blocks")).alias("places"))
                    .join(classes.select(F.col("cid").alias("a"), "size", "sketch"), "a"), "crowds")
     around = stage(join.around_centres(crowds), "around")
-    near = stage(join.near(met.filter("b is not null").select("a", "b").unionByName(around).distinct(), classes), "near")
+    agreeing = met.filter("b is not null").select("a", "b", "weight").unionByName(around.withColumn("weight", F.lit(AGREE))) \
+        .groupBy("a", "b").agg(F.sum("weight").alias("weight")).filter(F.col("weight") >= AGREE).select("a", "b")
+    near = stage(join.near(agreeing, classes), "near")
     ends = near.select("a", "b", "d").unionAll(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
     nearest = ends.groupBy("a").agg(F.min(F.struct("d", "b"))["b"].alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     one = nearest.unionByName(near.join(around, ["a", "b"], "left_semi").select("a", "b")).distinct()
