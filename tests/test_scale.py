@@ -3,14 +3,34 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
+from wardflow.operators import encode as E
 from wardflow.plans import queries as Q
 from wardflow.schema import KEY, RAW_COLUMNS
 from wardflow.session import scratch_path
 from wardflow.sources.files import read_encounters_checked
 
 
+@pytest.fixture
+def rows(spark):
+    return spark.createDataFrame([("a", "x", 1, 0.5), ("a", "y", 0, 0.0), ("b", None, 2, 1.5), ("b", "x", 0, 0.0), ("b", "1:x", 3, 0.0)],
+                                 "c string, d string, n int, r double")
+
+
+@pytest.fixture
+def unseen(spark):
+    return spark.createDataFrame([("z", "y", 1, 0.5), (None, "0:a", 0, 0.0), ("a", None, 7, 2.5), (None, None, 0, 0.0), ("b", "1:x", 0, 1.0)],
+                                 "c string, d string, n int, r double")
+
+
+def test_hot_slot(spark, rows, unseen):
+    model = Pipeline(stages=[E.index_categories(["c"]), E.one_hot(["c"])]).fit(rows)
+    out = model.transform(unseen).select(E.hot_slot("c_vec").alias("s"), E.active_slots("c_vec").alias("v")).collect()
+    assert [r.s for r in out] == [r.v[0].slot if r.v else None for r in out] == [None, None, 1, None, 0]
+
+
 def _encounters(spark, n: int, partitions: int):
     base = spark.range(n).repartition(partitions)
     return base.select(*[{KEY: F.col("id").cast("string"), "age": F.element_at(F.array(F.lit("[50-60)"), F.lit("[70-80)"), F.lit("[0-10)")), (F.col("id") % 3 + 1).cast("int"))}
