@@ -10,6 +10,7 @@ from wardflow.operators import encode as E
 from wardflow.plans import queries as Q
 from wardflow.schema import KEY, RAW_COLUMNS
 from wardflow.session import scratch_path
+from wardflow.sources import fixtures
 from wardflow.sources.files import read_encounters_checked
 
 
@@ -31,6 +32,16 @@ def test_hot_slot(spark, rows, unseen):
     assert [r.s for r in out] == [r.v[0].slot if r.v else None for r in out] == [None, None, 1, None, 0]
 
 
+def test_tasks_grow_with_the_table(spark, tmp_path, monkeypatch):
+    parts = spark.range(1000).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_partkey"), F.lit(2).alias("l_suppkey"), F.lit(3).alias("l_linenumber"))
+    parts.write.parquet(f"{tmp_path}/lineitem.parquet")
+    few = fixtures.load_encounters(spark, str(tmp_path))
+    monkeypatch.setattr(fixtures, "ROWS_A_TASK", 50)
+    many = fixtures.load_encounters(spark, str(tmp_path))
+    assert many.rdd.getNumPartitions() == 20 and few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(few.collect()) == sorted(many.collect())
+
+
 def _encounters(spark, n: int, partitions: int):
     base = spark.range(n).repartition(partitions)
     return base.select(*[{KEY: F.col("id").cast("string"), "age": F.element_at(F.array(F.lit("[50-60)"), F.lit("[70-80)"), F.lit("[0-10)")), (F.col("id") % 3 + 1).cast("int"))}

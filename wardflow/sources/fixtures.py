@@ -19,6 +19,7 @@ from wardflow.schema import MEDICATION_COLUMNS, RAW_COLUMNS
 KEY_PARTS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 N_HASHES = 3          # 3 md5 digests x 16 bytes = 48 bytes b0..b47
 PATIENTS = 5000
+ROWS_A_TASK = 500_000  # a table of more rows than that for each core is dealt over more tasks
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture (see FIXTURES.md). Bands read left to right:
@@ -156,7 +157,8 @@ def encounters_from_lineitem(lineitem: DataFrame, parallelism: int | None = None
 
 def load_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
-    return encounters_from_lineitem(lineitem, int(spark.sparkContext.defaultParallelism))
+    rows = lineitem.count()  # read off the files' footers
+    return encounters_from_lineitem(lineitem, max(int(spark.sparkContext.defaultParallelism), -(-rows // ROWS_A_TASK)))
 
 
 # ---------------------------------------------------------------------------
