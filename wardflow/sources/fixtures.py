@@ -85,32 +85,36 @@ def _spark_bands(b: Column, bands, rest) -> Column:
     return expr.otherwise(F.lit(rest))
 
 
-def _spark_text(b: Column, spec) -> Column:
+def _text(b: int, spec) -> str:
     if isinstance(spec, str):
-        return F.lit(spec)
+        return spec
     _, offset, mod = spec
-    return (F.lit(offset) + b % mod).cast("string")
+    return str(offset + b % mod)
 
 
-def _spark_rule(name: str, rule: tuple) -> Column:
-    kind, n = rule[0], rule[1]
-    b = F.col(f"_b{n}")
+def _value(rule: tuple, b: int) -> str:
+    """The value that a rule of one byte gives byte ``b``."""
+    kind = rule[0]
     if kind == "bands":
-        return _spark_bands(b, rule[2], rule[3])
+        return next((value for value, upper in rule[2] if b < upper), rule[3])
     if kind == "mod":
-        return (F.lit(rule[2]) + b % rule[3]).cast("string")
+        return str(rule[2] + b % rule[3])
     if kind == "age":
-        lo = (b % 10) * 10
-        return F.concat(F.lit("["), lo.cast("string"), F.lit("-"), (lo + 10).cast("string"), F.lit(")"))
+        return f"[{b % 10 * 10}-{b % 10 * 10 + 10})"
     if kind == "gated":
-        return F.when(b < rule[2], _spark_text(b, rule[3])).otherwise(_spark_text(b, rule[4]))
+        return _text(b, rule[3] if b < rule[2] else rule[4])
     if kind == "pick":
-        codes = rule[2]
-        return F.element_at(F.array(*[F.lit(c) for c in codes]), (b % len(codes) + 1).cast("int"))
-    if kind == "target":
+        return rule[2][b % len(rule[2])]
+    raise ValueError(kind)
+
+
+def _spark_rule(name: str, rule: tuple) -> Column:
+    """The column of a rule: its byte's entry in the constant array of the rule's 256 values (the optimizer folds the split)."""
+    b = F.col(f"_b{rule[1]}")
+    if rule[0] == "target":
         s = b + F.lit(rule[2]) * F.col("number_inpatient").cast("int")
         return _spark_bands(s, rule[3], rule[4])
-    raise ValueError(kind)
+    return F.get(F.split(F.lit("\t".join(_value(rule, i) for i in range(256))), "\t"), b)
 
 
 def encounters_from_lineitem(lineitem: DataFrame, parallelism: int | None = None) -> DataFrame:
@@ -135,22 +139,9 @@ def encounters_from_lineitem(lineitem: DataFrame, parallelism: int | None = None
     with_bytes = words.select("_k", "l_orderkey", *[_spark_byte(n).alias(f"_b{n}") for n in range(16 * N_HASHES)])
     first = [F.col("_k").alias("encounter_id"),
              (F.col("l_orderkey") % PATIENTS).cast("string").alias("patient_nbr")]
-    # The 23 medication columns share one band rule: evaluate it once over an
-    # array of their bytes (small generated code), then pick the elements.
-    med_bytes = [RULES[m][1] for m in MEDICATION_COLUMNS]
-    bands, rest = MED_BANDS
-    meds = F.transform(F.array(*[F.col(f"_b{n}") for n in med_bytes]), lambda b: _spark_bands(b, bands, rest))
-    with_meds = with_bytes.withColumn("_meds", meds)
-    med_pos = {m: i for i, m in enumerate(MEDICATION_COLUMNS)}
-
-    def render(c: str) -> Column:
-        if c in med_pos:
-            return F.col("_meds")[med_pos[c]].alias(c)
-        return _spark_rule(c, RULES[c]).alias(c)
-
     # number_inpatient is needed by the target rule; build it in the same projection.
-    cols = first + [render(c) for c in RAW_COLUMNS[2:] if c != "readmitted"]
-    staged = with_meds.select(*cols, F.col("_b47"))
+    cols = first + [_spark_rule(c, RULES[c]).alias(c) for c in RAW_COLUMNS[2:] if c != "readmitted"]
+    staged = with_bytes.select(*cols, F.col("_b47"))
     return staged.select(*[F.col(f"`{c}`") for c in RAW_COLUMNS[:-1]],
                          _spark_rule("readmitted", RULES["readmitted"]).alias("readmitted"))
 
