@@ -200,3 +200,38 @@ def test_thousands_of_near_copies(make_docs, monkeypatch):
     assert sum(r["component_id"] == r["id"] for r in got) == 51
     rows = {name: df.count() for name, df in made}
     assert rows["undecided"] < 20 * len(texts) and rows["links-1"] < 20 * len(texts)
+
+
+def crowd_rows(spark, crowds, labels):
+    """Classes of the given crowds (lists of class ids), as ``around_centres`` and ``crowded_links`` take them."""
+    places = {}
+    for sig, members in enumerate(crowds, 1):
+        for at, a in enumerate(members):
+            places.setdefault(a, []).append((sig, at // J.BLOCK, -(-len(members) // J.BLOCK)))
+    return (spark.createDataFrame([(a, p, 100, bytes(128)) for a, p in places.items()],
+                                  "a long, places array<struct<sig:long,own:int,blocks:int>>, size long, sketch binary"),
+            spark.createDataFrame(list(labels.items()), "node long, label long"))
+
+
+def test_crowds_of_the_same_classes_are_compared_once(make_docs, monkeypatch):
+    """Copies of one text share many signatures: a class is dealt once, not once for each of them."""
+    made = {}
+    stage = J.stage
+    monkeypatch.setattr(J, "stage", lambda df, name: made.setdefault(name, stage(df, name)))
+    docs = make_docs([(1, "a b c", None)])
+    crowds, labels = crowd_rows(docs.sparkSession, [range(60)] * 15, {a: 0 for a in range(40)})
+    join = J.Join(docs, 3, 90, "doc_id", "text")
+    sets = docs.sparkSession.createDataFrame([(a, np.arange(100, dtype=np.uint64).tobytes()) for a in range(60)], "cid long, body binary")
+    links = join.crowded_links(crowds, labels, sets).collect()
+    assert made["undecided"].count() == 20 + 59  # 20 classes as rows, all but the first of them as columns; 15 times that many before
+    assert len({x for r in links for x in (r["a"], r["b"])} - set(range(40))) == 20
+
+
+def test_crowds_with_little_in_common_stay_apart(make_docs):
+    """Each with a few classes of one component and others of its own: together they would be compared for nothing."""
+    docs = make_docs([(1, "a b c", None)])
+    own = [range(100 * k, 100 * k + 50) for k in range(1, 9)]
+    crowds, labels = crowd_rows(docs.sparkSession, [[*range(5), *x] for x in own], {a: 10_000 for a in range(5)})
+    got = J.Join(docs, 3, 90, "doc_id", "text").split_crowds(crowds, labels).collect()
+    assert sorted((r["sig"], r["a"]) for r in got) == sorted((sig, a) for sig, x in enumerate(own, 1) for a in [*range(5), *x])
+    assert {(r["major"], r["n"], r["minors"]) for r in got} == {(10_000, 55, 50)}

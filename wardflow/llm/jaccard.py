@@ -27,8 +27,8 @@ compared exactly, in two rounds. First each class meets its nearest neighbour, a
 classes of a crowd their centre: the one whose sketch is nearest to the bitwise majority of
 the crowd's sketches, which is where copies of one text come from. What then lies in
 different components is compared: pairs of small groups as they are, of a crowd the
-classes outside its largest component with all others, in blocks of at most ``BLOCK`` by
-``BLOCK`` that any task can take. A block holds the exact sets of the classes that sketches leave undecided,
+classes outside its largest component with all others, in blocks of about ``BLOCK`` by
+``BLOCK`` that any task can take; crowds of the same classes are compared as one. A block holds the exact sets of the classes that sketches leave undecided,
 verifies only pairs that are still apart, and hands on the links that join them (fewer than its
 classes). Every link that could join two components is therefore verified, while pairs inside a component
 aren't emitted. No step holds a crowd whole but that which deals signatures, as two numbers for each class.
@@ -380,37 +380,40 @@ class Join:
         return crowds.select("a", largest.alias("sig")).join(centres, "sig").filter("a <> c") \
             .select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
 
-    def crowded_links(self, crowds: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-        """Links (a, b) between components of a crowd: of its classes outside the largest component with all others."""
-        percent = self.percent
+    def split_crowds(self, crowds: DataFrame, labels: DataFrame) -> DataFrame:
+        """(sig, major, a, label, n, minors) of the classes of crowds that lie in several components; ``major`` names the largest.
+
+        Copies of one text share many crowds, so a pair would be compared once in each. Crowds with one ``major`` are
+        taken together (sig 0), each class once, unless they overlap so little that this means more comparisons.
+        """
         named = crowds.join(labels, F.col("a") == F.col("node"), "left").withColumn("label", F.coalesce("label", "a")).drop("node")
-        each = _each(named, "a", "size", "sketch", "label")
+        each = _each(named, "a", "label")
         # groups of one component have nothing left to compare
-        split = each.groupBy("sig", "label").agg(F.count("*").alias("n"), F.max("blocks").alias("blocks")).groupBy("sig") \
+        alone = each.groupBy("sig", "label").agg(F.count("*").alias("n"), F.max("blocks").alias("blocks")).groupBy("sig") \
             .agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"), F.max("blocks").alias("blocks")).filter("n > most.n") \
-            .select("sig", F.col("most.label").alias("major"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("rows"),
-                    F.col("blocks").alias("width"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"))
-        keep = ["sig", "i", "j", "side", "a", "size", "sketch", "label", "minor"]
-        kind = "sig long, i int, j int, side int, a long, size long, sketch binary, label long, minor boolean"
-
-        def deal(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-            """A block's classes as rows and columns of the comparison, if the crowd is split."""
-            told = table.filter(pa.compute.is_valid(table.column("rows")))
-            table = table.filter(pa.compute.is_valid(table.column("a")))
-            if not told.num_rows:
-                return pa.table({c: pa.array([], t) for c, t in zip(keep, (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(),
-                                                                           pa.int64(), pa.bool_()), strict=True)})
-            rows, major, blocks = (int(told.column(c)[0].as_py()) for c in ("rows", "major", "width"))
-            minor = table.column("label").to_numpy() != major
-            mine = np.flatnonzero(minor)
-            n = table.num_rows
-            at = np.r_[np.repeat(mine, blocks), np.tile(np.arange(n), rows)]
-            i = np.r_[np.repeat((mix64(table.column("a").to_numpy()[mine].view(np.uint64)) % np.uint64(rows)).astype(np.int64), blocks), np.repeat(np.arange(rows), n)]
-            j = np.r_[np.tile(np.arange(blocks), len(mine)), np.full(n * rows, key[1].as_py())]
-            side = np.r_[np.zeros(len(mine) * blocks, np.int32), np.ones(n * rows, np.int32)]
-            picked = table.take(pa.array(at))
-            return pa.table([pa.array(np.full(len(at), key[0].as_py())), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(side),
-                             *(picked.column(c) for c in ("a", "size", "sketch", "label")), pa.array(minor[at])], keep)
+            .select("sig", F.col("most.label").alias("major"), "n", (F.col("n") - F.col("most.n")).alias("minors"), "blocks")
+        # a crowd meets its figures block by block: by signature alone it would be one task's
+        member = each.join(alone.withColumn("own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks"), ["sig", "own"])
+        member = stage(member.select("sig", "major", "a", "label", "n", "minors"), "crowd-members")
+        once = member.groupBy("major", "a").agg(F.first("label").alias("label"))
+        apart = member.groupBy("major", "sig").agg(F.first(F.col("n") * F.col("minors")).alias("compared")).groupBy("major").agg(F.sum("compared").alias("compared"))
+        together = once.groupBy("major").agg(F.count("*").alias("n"), F.count_if(F.col("label") != F.col("major")).alias("minors")) \
+            .join(apart, "major").filter(F.col("n") * F.col("minors") <= F.col("compared")).drop("compared")
+        return member.join(together, "major", "left_anti").unionByName(once.join(together, "major").withColumn("sig", F.lit(0).cast("bigint")))
+
+    def crowded_links(self, crowds: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links (a, b) between components of a crowd: of its classes outside the largest component with all others."""
+        percent = self.percent
+        keep = ["sig", "major", "i", "j", "side", "a", "size", "sketch", "label", "minor"]
+        kind = "sig long, major long, i int, j int, side int, a long, size long, sketch binary, label long, minor boolean"
+        split = self.split_crowds(crowds, labels).join(crowds.select("a", "size", "sketch"), "a")
+        # classes as rows (side 0, outside the largest component) and columns (side 1, all) of the comparison, about BLOCK by BLOCK at once
+        up_to = lambda n: F.sequence(F.lit(0), F.ceil(F.col(n) / BLOCK).cast("int") - 1)
+        place = lambda n, salt: F.pmod(F.xxhash64("a", F.lit(salt)), F.ceil(F.col(n) / BLOCK)).cast("int")
+        cell = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+        as_row = F.when(F.col("minor"), F.transform(up_to("n"), lambda j: cell(F.col("row"), j, 0)))
+        as_column = F.transform(up_to("minors"), lambda i: cell(i, F.col("column"), 1))
+        cells = F.concat(F.coalesce(as_row, F.slice(as_column, 1, 0)), as_column)
 
         def feasible(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
             """(row on the left, rows on the right, distances) that neither component nor sketch rules out."""
@@ -453,10 +456,11 @@ class Join:
                     found.append((min(a[x], a[y]), max(a[x], a[y])))
             return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-        # each grouping follows a dealing of its own by all its keys: dealt by signature alone, all blocks of a crowd would be one task's
-        whose, block = ["sig", "own"], ["sig", "i", "j"]
-        both = each.drop("blocks").unionByName(split, allowMissingColumns=True)
-        rows = both.repartition(*whose).groupBy(*whose).applyInArrow(deal, kind)
+        # each grouping follows a dealing of its own by all its keys: dealt by crowd alone, all its blocks would be one task's
+        block = ["sig", "major", "i", "j"]
+        rows = split.withColumns({"minor": F.col("label") != F.col("major"), "row": place("minors", 0), "column": place("n", 1)}) \
+            .select("sig", "major", "a", "size", "sketch", "label", "minor", F.explode(cells).alias("cell")) \
+            .select("sig", "major", "cell.i", "cell.j", "cell.side", "a", "size", "sketch", "label", "minor")
         left = rows.repartition(*block).groupBy(*block).applyInArrow(undecided, kind)
         whole = stage(left, "undecided").join(sets, F.col("a") == F.col("cid")).drop("cid")
         return whole.repartition(*block).groupBy(*block).applyInArrow(verify, "a long, b long").distinct()

@@ -183,7 +183,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     so_far = F.sum(F.length("slots") + F.length("values")).over(Window.orderBy("h", "y"))  # most_rows rows at most
     fit = rows.select("h", "y", "slots", "values", so_far.alias("bytes")).filter(F.col("bytes") <= most_bytes) \
         .select("y", "h", "slots", "values").toArrow()
-    return _fit(fit, rounds, share.get(True, 0) / max(1, sum(share.values())))
+    try:
+        return _fit(fit, rounds, share.get(True, 0) / max(1, sum(share.values())))
+    finally:
+        del fit
+        give_back()  # later stages share the driver with what the fit held
 
 
 def _fit(rows: pa.Table, rounds: int, prior: float, scale: float = 30.0, decay: float = 1e-4) -> QualityModel:
