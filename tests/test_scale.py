@@ -60,3 +60,19 @@ def test_faulty_lines_stay_in_their_partitions(spark, n, partitions):
     good, bad = read_encounters_checked(spark, path)
     assert (good.count(), bad.count()) == (n // 3, n // 3 * 2)
     assert {r.reason for r in bad.collect()} == ({"fields:2", "fields:51"} if n else set())
+
+
+def test_active_slots_are_read_by_value(spark):
+    from pyspark.ml.linalg import Vectors
+
+    made = [Vectors.sparse(3, [1], [0.0]), Vectors.dense(0.0, 1.0, 0.0), Vectors.sparse(3, [2], [1.0]), Vectors.sparse(3, [], [])]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(made)], ["i", "v"])
+    assert [r.s for r in frame.select("i", E.hot_slot("v").alias("s")).orderBy("i").collect()] == [None, 1, 2, None]
+
+
+def test_one_hot_long_reads_every_vector_whole(spark, enc_small, monkeypatch):
+    read, whole = [], E.active_slots
+    monkeypatch.setattr(E, "active_slots", lambda vector: read.append(vector) or whole(vector))
+    counted = Q.REGISTRY["one_hot_long"](spark, enc_small).groupBy("column_name").agg(F.sum("n").alias("n")).collect()
+    assert set(read) == {f"{r.column_name}_vec" for r in counted}
+    assert {r.n for r in counted} == {enc_small.count()}
