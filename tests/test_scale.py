@@ -76,3 +76,24 @@ def test_one_hot_long_reads_every_vector_whole(spark, enc_small, monkeypatch):
     counted = Q.REGISTRY["one_hot_long"](spark, enc_small).groupBy("column_name").agg(F.sum("n").alias("n")).collect()
     assert set(read) == {f"{r.column_name}_vec" for r in counted}
     assert {r.n for r in counted} == {enc_small.count()}
+
+
+def test_training_rows_are_kept_off_the_executors_memory(spark, enc_small):
+    from wardflow.operators import models as M
+    from wardflow.plans.pipeline import fit_scoring_models
+
+    kept = []
+
+    class Seen:
+        def fit(self, rows):
+            kept.append(rows.storageLevel)
+            return M.forest(numTrees=1, maxDepth=1).fit(rows)
+
+    model = fit_scoring_models(enc_small, {"seen": Seen()})["seen"]
+    assert kept[0].useDisk and not kept[0].useMemory
+    assert model.transform(enc_small).count() == enc_small.count()
+
+
+def test_a_task_of_training_rows_fits_an_executor():
+    slots, trees = 259, 20  # of the encoded vector, of the registered forests
+    assert fixtures.ROWS_A_TASK * (4 * slots + 4 * trees + 100) < 200_000_000  # MLlib's form of a task's rows in bytes

@@ -19,7 +19,7 @@ from wardflow.schema import MEDICATION_COLUMNS, RAW_COLUMNS
 KEY_PARTS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 N_HASHES = 3          # 3 md5 digests x 16 bytes = 48 bytes b0..b47
 PATIENTS = 5000
-ROWS_A_TASK = 500_000  # a table of more rows than that for each core is dealt over more tasks
+ROWS_A_TASK = 125_000  # a table of more rows than that for each core is dealt over more tasks; MLlib's trees keep 1.2 kB a row of each
 
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture (see FIXTURES.md). Bands read left to right:
