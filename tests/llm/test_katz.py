@@ -147,3 +147,27 @@ def test_discounts_are_factors():
     for n in ([0] * 6, [5, 0, 0, 0, 0, 0], [100, 40, 20, 12, 8, 5], [1, 9, 9, 9, 9, 9]):
         d = katz.discounts(n)
         assert d[0] == 1 and np.all((d[1:] > 0) & (d[1:] < 1))
+
+
+def test_buckets_follow_the_text_not_the_partitions(spark, make_docs, monkeypatch):
+    """One large partition: its n-grams are dealt to as many buckets as its text asks for, with the same scores."""
+    asked, whole = [], katz.count_grams
+    monkeypatch.setattr(katz, "count_grams", lambda messages, buckets, numbered: asked.append(buckets) or whole(messages, buckets, numbered))
+    rows = corpus()
+    size = sum(len(t.encode()) for _, t, _ in rows)
+    monkeypatch.setattr(katz, "BUCKET_BYTES", size // 6)
+    got = {r["id"]: r["score"] for r in katz.katz_scores(make_docs(rows).coalesce(1)).collect()}
+    assert asked == [-(-size // (size // 6))]
+    plain = Plain([t for i, t, _ in rows if not held(i)], 2)
+    assert len(got) == len(rows)
+    for i, t, _ in rows[::9]:
+        assert got[i] == pytest.approx(plain.score(t), rel=1e-9)
+
+
+def test_wide_word_numbers_keep_their_order():
+    for most in (katz.LAST - 1, katz.LAST, 1 << 40):
+        word = np.array([most, katz.UNKNOWN, 3, most, 0, katz.UNKNOWN])
+        got = katz._in_32_bits(word)
+        assert got.max() <= katz.LAST
+        assert np.array_equal(np.argsort(got, kind="stable"), np.argsort(word, kind="stable"))
+        assert [len(set(got[word == w])) for w in np.unique(word)] == [1] * 4

@@ -18,10 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
     """Write ``df`` under the shared folder and reread it: later steps don't recompute it, lost executors don't matter."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").options(**options or {}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -43,10 +43,15 @@ from wardflow.llm.packed import floats, numbers, pack, planes, text_chunks, unpa
 
 ORDER = 2
 TOP = 5  # the largest count that is discounted
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 5_000_000
+BUCKET_BYTES = 32_000_000  # of text for each bucket of the tables at most, whatever the size of the input's partitions
+# a row may be some MB: without a look at each, Parquet's writer would hold a hundred of them, and a reader a whole group of 128 MB
+ROW_GROUPS = {"parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 10,
+              "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 10}
 END = b""  # no word is empty
 BEGIN = 1 << 62  # number of the context before a text's first token
 UNKNOWN = BEGIN + 1
+LAST = (1 << 32) - 1
 MESSAGE = "chunk long, bucket int, body binary"
 ANSWER = MESSAGE + ", ctx long, m array<long>, low double"
 LEVEL = -1  # in place of a context: the counts of counts of a whole bucket
@@ -312,46 +317,69 @@ def ask(states: DataFrame, level: int, buckets: int, tokens: int) -> DataFrame:
     return states.mapInArrow(then_give_back(run), MESSAGE)
 
 
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    """The arrays as one; the list is emptied, so that they aren't held twice for long."""
+    out = np.concatenate(parts)
+    parts.clear()
+    return out
+
+
+def _in_32_bits(word: np.ndarray) -> np.ndarray:
+    """Numbers in the order of ``word`` that fit in 32 bits: its own, UNKNOWN as the largest, or else their ranks."""
+    if word.max(where=word != UNKNOWN, initial=0) < LAST:
+        return np.minimum(word, LAST).astype(np.uint64)
+    return np.unique(word, return_inverse=True)[1].astype(np.uint64)
+
+
 def count_grams(messages: DataFrame, buckets: int, numbered: bool) -> DataFrame:
     """The level's table, in buckets: counts go back to the chunks in the order asked, with the contexts' figures where a count is 0."""
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = key[0].as_py()
-        asked, cols = [], ([], [], [], [], [])
+        asked, heads, cols = [], ([], [], []), ([], [], [])
         for batch in batches:
             for chunk, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
                 x = unpack(body)
-                run_len = numbers(x["run"])
-                got = (np.repeat(numbers(x["ctx"]), run_len), np.repeat(numbers(x["hot"]) > 0, run_len), numbers(x["word"]), numbers(x["n"]), floats(x["low"]))
-                for to, values in zip(cols, got, strict=True):
+                for to, values in zip(heads, (numbers(x["ctx"]), numbers(x["hot"]) > 0, numbers(x["run"])), strict=True):
+                    to.append(values)
+                for to, values in zip(cols, (numbers(x["word"]), numbers(x["n"]).astype(np.int32), floats(x["low"])), strict=True):
                     to.append(values)
-                asked.append((chunk, len(got[0])))
-        ctx, hot, word, n, low = (np.concatenate(x) for x in cols)
-        order = np.lexsort((word, ctx))
-        heads = np.flatnonzero(np.r_[True, (ctx[order][1:] != ctx[order][:-1]) | (word[order][1:] != word[order][:-1])])
-        size = np.diff(np.r_[heads, len(order)])
-        r = np.add.reduceat(n[order], heads)
-        t_ctx, t_low, t_hot = ctx[order[heads]], np.where(r > 0, low[order[heads]], 0.0), hot[order[heads]]
-        c_heads = np.flatnonzero(np.r_[True, t_ctx[1:] != t_ctx[:-1]])
+                asked.append((chunk, len(cols[0][-1])))
+        t_ctx, place = np.unique(_joined(heads[0]), return_inverse=True)
+        t_hot = np.zeros(len(t_ctx), bool)
+        t_hot[place] = _joined(heads[1])
+        # a row is 8 bytes while it is sorted: its context's place, its word
+        key = np.repeat(place.astype(np.uint64) << np.uint64(32), _joined(heads[2]))
+        key |= _in_32_bits(_joined(cols[0]))
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        of = (key[first] >> np.uint64(32)).astype(np.int64)
+        del key
+        size = np.diff(np.r_[first, len(order)])
+        r = np.add.reduceat(_joined(cols[1])[order], first, dtype=np.int64)
+        low = np.where(r > 0, _joined(cols[2])[order[first]], 0.0)
+        c_heads = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
         m = np.stack([np.add.reduceat((r == j).astype(np.int64), c_heads) for j in range(1, TOP + 1)], axis=1)
-        s = np.add.reduceat(t_low, c_heads)
-        of = np.repeat(np.arange(len(c_heads)), np.diff(np.r_[c_heads, len(r)]))
+        s = np.add.reduceat(low, c_heads)
+        del first, low
         # back in the order asked
-        gram = np.empty(len(order), np.int64)
-        gram[order] = np.repeat(np.arange(len(r)), size)
-        full = (m.sum(axis=1) == 0) & ~t_hot[c_heads]
+        gram = np.empty(len(order), np.int32)
+        gram[order] = np.repeat(np.arange(len(r), dtype=np.int32), size)
+        del order, size
+        full = (m.sum(axis=1) == 0) & ~t_hot
         code = 2 * r + full[of]
         number = np.arange(len(r)) * buckets + bucket
         at = 0
         for chunk, k in asked:
             mine = gram[at:at + k]
             at += k
-            lost = of[mine[(r[mine] == 0) & ~t_hot[mine]]]
+            lost = of[mine[(r[mine] == 0) & ~t_hot[of[mine]]]]
             more = {"number": planes(number[mine])} if numbered else {}
             yield _answer([(chunk, bucket, pack(code=planes(code[mine]), **{f"m{j}": planes(m[lost, j]) for j in range(TOP)}, low=s[lost].tobytes(), **more),
                             None, None, None)])
         yield _answer([_level_row(bucket, r)] + [
-            (None, bucket, None, int(t_ctx[c_heads[i]]), [*map(int, m[i]), 0, 0, 0], float(s[i])) for i in np.flatnonzero(t_hot[c_heads])])
+            (None, bucket, None, int(t_ctx[i]), [*map(int, m[i]), 0, 0, 0], float(s[i])) for i in np.flatnonzero(t_hot)])
 
     return messages.groupBy("bucket").applyInArrow(run, ANSWER)
 
@@ -399,9 +427,9 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held if held is not None else held_out(id_col), F.lit(False)).alias("held"),
                        F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    buckets = max(1, rows.rdd.getNumPartitions())
-    training_texts = rows.filter("not held").count() if order > 1 else 0
-    answers = stage(count_words(split_words(rows, buckets, words=True), buckets), "words")
+    training_texts, size = rows.agg(F.count_if(~F.col("held")), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    buckets = max(1, rows.rdd.getNumPartitions(), -(-size // BUCKET_BYTES))
+    answers = stage(count_words(split_words(rows, buckets, words=True), buckets), "words", ROW_GROUPS)
     words = totals(answers)
 
     def finished(s: State) -> pa.Table:
@@ -425,9 +453,9 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     states = step(split_words(rows, buckets, words=False), answers, lambda own, parts: first_state(own, parts, words, training_texts), order == 1)
     for level in range(2, order + 1):
-        states = stage(states, "states")
+        states = stage(states, "states", ROW_GROUPS)
         more = level < order
-        answers = stage(count_grams(ask(states, level, buckets, words.tokens), buckets, more), "grams")
+        answers = stage(count_grams(ask(states, level, buckets, words.tokens), buckets, more), "grams", ROW_GROUPS)
         found = totals(answers)
         states = step(states, answers, lambda own, parts, level=level, found=found, more=more:
                       evaluate(State.read(own), parts, level, buckets, words.tokens, found, more), not more)
